@@ -7,15 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, simhash
+from . import media, packing, quality, secrets, sharding, simhash, toxicity, warc
 from .common import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives, folder = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(table(spark, sf_dir, "documents"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secrets.find_secrets(docs, secrets.train(docs))
@@ -37,9 +51,13 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality.kept(v1)).alias("base_failed"), quality.kept(v2).alias("kept"), "failure_bits")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_simhash, op6_secrets, op7_quality, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op3_sharding, op4_simhash, op5_media, op6_secrets, op7_quality, op9_toxicity, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
