@@ -2,8 +2,8 @@
 
 The trie of all distinct fingerprints is walked from the root by pairs of nodes at once: a pair carries the bits in
 which its two prefixes differ, expands to its children's pairs, and is pruned as soon as it exceeds the error budget.
-With a budget of k errors over k + 1 bit segments one segment has no error, so the walk is done on k + 1 rotations of
-the bits, each starting with an exact segment; a link is kept by the first rotation whose segment is exact. No pair of
+With a budget of k errors over k + 1 pieces of the bits one piece has no error, so the walk is done on k + 1 rotations
+of the bits, each starting with an exact piece; a link is kept by the first rotation whose piece is exact. No pair of
 documents within a group of copies is ever made: the trie holds distinct fingerprints.
 """
 
@@ -21,6 +21,7 @@ from .common import hot_keys, only, spread_join, staged
 
 BITS = 64
 STEP = 11
+HOPS = 3
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -57,66 +58,71 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return only(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, fp long")
 
 
-def _rotated(c: str, by: int):
-    return F.col(c) if by == 0 else F.shiftleft(c, by).bitwiseOR(F.shiftrightunsigned(c, BITS - by))
-
-
-def _segments(budget: int) -> list[tuple[int, int]]:
-    """(first bit, width) of budget + 1 segments."""
-    cuts = [-(-BITS * k // (budget + 1)) for k in range(budget + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
-
-
 def trie_self_join(prints: DataFrame, budget: int = 2, step: int = STEP) -> DataFrame:
-    """Pairs (a, b, errors) of distinct fp of `prints` that differ in at most `budget` bits, each pair once, a != b."""
-    found = None
-    segments = _segments(budget)
-    for k, (first, width) in enumerate(segments):
-        leaves = prints.select(_rotated("fp", first).alias("fp"))
-
-        def nodes(depth: int, below: int) -> DataFrame:
-            """Trie nodes at a depth: prefix, parent's prefix, and leaves below."""
-            p = F.shiftrightunsigned("fp", BITS - depth) if depth < BITS else F.col("fp")
-            up = F.shiftrightunsigned("fp", BITS - below)
-            return leaves.groupBy(p.alias("p"), up.alias("up")).agg(F.count(F.lit(1)).alias("n"))
-
-        depth = width
-        single = leaves.groupBy(F.shiftrightunsigned("fp", BITS - depth).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        pairs = single.where("n > 1").select(F.col("p").alias("a"), F.col("p").alias("b"), F.lit(0).alias("errors"))
-        while depth < BITS:
-            deeper = min(BITS, depth + step)
-            here = nodes(deeper, depth)
-            left = here.select(F.col("up").alias("a"), F.col("p").alias("pa"), F.col("n").alias("na"))
-            right = here.select(F.col("up").alias("up_b"), F.col("p").alias("pb"))
-            new_bits = F.lit((1 << (deeper - depth)) - 1).cast("long")
-            errors = F.col("errors") + F.bit_count(F.col("pa").bitwiseXOR(F.col("pb")).bitwiseAND(new_bits))
-            # a node paired with itself gives each pair of children once; alone above one leaf it can end nowhere
-            fresh = (F.col("a") != F.col("b")) | (F.col("pa") < F.col("pb")) | ((F.col("pa") == F.col("pb")) & (F.col("na") > 1))
-            pairs = pairs.join(left, "a").join(right, (F.col("up_b") == F.col("b")) & fresh & (errors <= budget)).select(F.col("pa").alias("a"), F.col("pb").alias("b"), errors.cast("int").alias("errors"))
-            depth = deeper
-        pairs = pairs.where("a != b").select(_rotated("a", (BITS - first) % BITS).alias("a"), _rotated("b", (BITS - first) % BITS).alias("b"), "errors")
-        for start, size in segments[:k]:
-            piece = F.shiftrightunsigned(F.col("a").bitwiseXOR(F.col("b")), BITS - start - size).bitwiseAND(F.lit((1 << size) - 1).cast("long"))
-            pairs = pairs.where(piece != 0)
-        found = pairs if found is None else found.unionByName(pairs)
-    return found
+    """Pairs (a, b, errors) of distinct fp of `prints` that differ in at most `budget` bits, each pair once, a != b.
+
+    All rotations are walked together: r names the rotation, and a node is (r, prefix).
+    """
+    width = BITS // (budget + 1)
+    turned = lambda c, r: F.shiftleft(c, r).bitwiseOR(F.shiftrightunsigned(c, BITS - r)) if r else F.col(c)
+    turns = [k * width for k in range(budget + 1)]
+    leaves = prints.select(F.explode(F.array(*[F.struct(F.lit(k).alias("r"), turned("fp", t).alias("fp")) for k, t in enumerate(turns)])).alias("x")).select("x.*")
+
+    def prefix(depth: int):
+        return F.shiftrightunsigned("fp", BITS - depth) if depth < BITS else F.col("fp")
+
+    depth = width
+    roots = leaves.groupBy("r", prefix(depth).alias("a")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = roots.select("r", "a", F.col("a").alias("b"), F.lit(0).alias("errors"))
+    while depth < BITS:
+        deeper = min(BITS, depth + step)
+        dealt = leaves.select("r", prefix(depth).alias("up"), prefix(deeper).alias("p")).repartition("r", "up")
+        nodes = dealt.groupBy("r", "up", "p").agg(F.count(F.lit(1)).alias("n"))  # dealt by parent: no further shuffle
+        left = nodes.select(F.col("r").alias("ra"), F.col("up").alias("ua"), F.col("p").alias("pa"), F.col("n").alias("na"))
+        right = nodes.select(F.col("r").alias("rb"), F.col("up").alias("ub"), F.col("p").alias("pb"))
+        new_bits = F.lit((1 << (deeper - depth)) - 1).cast("long")
+        errors = F.col("errors") + F.bit_count(F.col("pa").bitwiseXOR(F.col("pb")).bitwiseAND(new_bits))
+        # a node paired with itself gives each pair of children once; alone above one leaf it can end nowhere
+        fresh = (F.col("a") != F.col("b")) | (F.col("pa") < F.col("pb")) | ((F.col("pa") == F.col("pb")) & (F.col("na") > 1))
+        pairs = pairs.join(left, (F.col("r") == F.col("ra")) & (F.col("a") == F.col("ua")))
+        pairs = pairs.join(right, (F.col("r") == F.col("rb")) & (F.col("b") == F.col("ub")) & fresh & (errors <= budget))
+        pairs = pairs.select("r", F.col("pa").alias("a"), F.col("pb").alias("b"), errors.cast("int").alias("errors"))
+        depth = deeper
+    back = lambda c: F.element_at(F.array(*[turned(c, (BITS - t) % BITS) for t in turns]), F.col("r") + 1)
+    pairs = pairs.where("a != b").select("r", back("a").alias("a"), back("b").alias("b"), "errors")
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+    for k, t in enumerate(turns[:-1]):  # a link whose k-th piece is exact was found by rotation k
+        piece = F.shiftrightunsigned(differ, BITS - t - width).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+        pairs = pairs.where((F.col("r") <= k) | (piece != 0))
+    return pairs.select("a", "b", "errors")
+
+
+#: So few links are walked in one task; the bound is checked, and more are shuffled.
+FEW_LINKS = 100_000
 
 
 def components(reps: DataFrame, links: DataFrame) -> DataFrame:
     """fp and the smallest label reachable over links (a, b), for the fp that have links; reps: fp, label.
 
-    Minimum labels travel two links a round until none changes. A fingerprint has at most C(64, 1) + C(64, 2) links,
+    Minimum labels travel HOPS links a round until none changes. A fingerprint has at most C(64, 1) + C(64, 2) links,
     so no task gathers an unbounded group; rounds grow with a component's radius in links.
     """
     both = staged(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     state = staged(both.select(F.col("a").alias("fp")).distinct().join(reps, "fp").select("fp", "label"), "labels")
+    few = both.count() <= FEW_LINKS
+    if few:  # one partition each: the joins below need no exchange
+        both = both.coalesce(1)
 
     def spread(s: DataFrame) -> DataFrame:
         heard = both.join(s.select(F.col("fp").alias("a"), "label"), "a").select(F.col("b").alias("fp"), "label")
-        return heard.unionByName(s.select("fp", "label")).groupBy("fp").agg(F.min("label").alias("label"))
+        heard = heard.unionByName(s.select("fp", "label"))
+        return (heard.coalesce(1) if few else heard).groupBy("fp").agg(F.min("label").alias("label"))
 
     while True:
-        after = spread(spread(state)).join(state.select("fp", F.col("label").alias("before")), "fp")
+        after = state = state.coalesce(1) if few else state
+        for _ in range(HOPS):
+            after = spread(after)
+        after = after.join(state.select("fp", F.col("label").alias("before")), "fp")
         state = staged(after.select("fp", "label", (~F.col("label").eqNullSafe(F.col("before"))).alias("changed")), "labels")
         if not state.where("changed").limit(1).count():
             return state.select("fp", "label")
