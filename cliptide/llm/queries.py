@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, packing, quality, secrets, sharding, simhash, toxicity, warc
+from . import extraction, media, mixing, packing, quality, secrets, sharding, simhash, toxicity, warc
 from .common import table
 
 
@@ -16,6 +16,16 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+#: Target shares of expected tokens by language.
+TARGETS = {"de": 0.25, "en": 0.4, "es": 0.15, "fr": 0.2}
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = mixing.mix(docs, mixing.labelled_documents(docs, table(spark, sf_dir, "labels"), "lang"), TARGETS)
+    return rows.select("doc_id", "tokens", *[F.get("p", k).alias(f"p_{d}") for k, d in enumerate(TARGETS)], "rate")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_documents(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
@@ -51,6 +61,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality.kept(v1)).alias("base_failed"), quality.kept(v2).alias("kept"), "failure_bits")
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,5 +73,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op3_sharding, op4_simhash, op5_media, op6_secrets, op7_quality, op9_toxicity, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_mixing, op3_sharding, op4_simhash, op5_media, op6_secrets, op7_quality, op8_extraction, op9_toxicity, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
