@@ -29,8 +29,13 @@ def _array(values) -> Column:
     return F.expr("array(" + ",".join(f"{float(v)!r}D" for v in values) + ")")
 
 
+def letter_words(text: Column) -> Column:
+    """Runs of letters in lower case: marks and table rules say nothing of a domain."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+"), "")
+
+
 def bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lower(word)), F.lit(BUCKETS)).cast("int") + 1
+    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int") + 1
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, domain: str, bound: int = TRAIN_DOCS) -> DataFrame:
@@ -46,7 +51,7 @@ def train(labelled: DataFrame, domains: list[str]) -> np.ndarray:
     rows = staged(labelled.where(F.col("domain").isin(domains)).select("text", "domain"), "labelled")
     counts = np.ones((len(domains), BUCKETS))
     docs = np.ones(len(domains))
-    words = rows.select("domain", F.explode(words_of(F.col("text"))).alias("w")).groupBy("domain", bucket(F.col("w")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    words = rows.select("domain", F.explode(letter_words(F.col("text"))).alias("w")).groupBy("domain", bucket(F.col("w")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     for r in words.collect():  # at most domains * BUCKETS rows
         counts[domains.index(r.domain), r.b - 1] += r.n
     for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect():
@@ -56,14 +61,14 @@ def train(labelled: DataFrame, domains: list[str]) -> np.ndarray:
 
 def posteriors(docs: DataFrame, model: np.ndarray) -> DataFrame:
     """docs with tokens (words, double) and p (array of posteriors); a text without words gets the prior."""
-    docs = docs.withColumn("_b", F.transform(words_of(F.col("text")), bucket))
+    docs = docs.withColumn("_b", F.transform(letter_words(F.col("text")), bucket))
     n = F.size("_b")
 
     def likelihood(c: int) -> Column:
         held = _array(model[c, :-1])
         return F.aggregate("_b", F.lit(0.0), lambda t, b: t + F.get(held, b - 1))
 
-    docs = docs.withColumns({"tokens": n.cast("double"), **{f"_l{c}": likelihood(c) for c in range(len(model))}})
+    docs = docs.withColumns({"tokens": F.size(words_of(F.col("text"))).cast("double"), **{f"_l{c}": likelihood(c) for c in range(len(model))}})
     logs = F.array(*[F.lit(float(model[c, -1])) + F.col(f"_l{c}") * F.least(F.lit(1.0), F.lit(EVIDENCE) / F.greatest(n, F.lit(1))) for c in range(len(model))])
     docs = docs.withColumn("_logs", logs).withColumn("_e", F.transform("_logs", lambda x: F.exp(x - F.array_max("_logs"))))
     docs = docs.withColumn("_sum", F.aggregate("_e", F.lit(0.0), lambda t, x: t + x))

@@ -108,7 +108,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, region_pieces: int = REGIO
     runs = staged(dealt.groupBy("region", "length", "_salt").agg(F.count(F.lit(1)).alias("n")), "runs")
     before = runs.withColumn("_before", F.sum("n").over(Window.partitionBy("region", "length").orderBy("_salt")) - F.col("n")).drop("n")
     ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("region", "length", "_salt").orderBy("doc_id", "piece")) - 1)
-    ranked = ranked.join(before, ["region", "length", "_salt"]).withColumn("_rank", (F.col("_rank") + F.col("_before")).cast("long")).drop("_salt", "_before")
+    ranked = ranked.join(before.hint("merge"), ["region", "length", "_salt"]).withColumn("_rank", (F.col("_rank") + F.col("_before")).cast("long")).drop("_salt", "_before")
 
     def plans(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -121,8 +121,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, region_pieces: int = REGIO
     by_region = by_length.groupBy("region").agg(F.collect_list(F.struct("length", "n")).alias("h")).select("region", F.col("h.length").alias("lengths"), F.col("h.n").alias("ns"))
     plan = by_region.mapInPandas(lambda it: map(plans, it), "region int, length long, lo long, n long, base long, offset long")
     places = staged(plan, "plan").repartition(F.col("region"), F.col("length"), F.col("lo")).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    # the places unfold to one row a piece, which Spark's size estimate of the plan doesn't show: never broadcast them
     places = places.select("region", "length", (F.col("lo") + F.col("k")).alias("_rank"), (F.col("base") + F.col("k")).alias("sequence_id"), "offset")
-    return ranked.join(places, ["region", "length", "_rank"]).select(*pieces.columns, "sequence_id", "offset")
+    return ranked.join(places.hint("merge"), ["region", "length", "_rank"]).select(*pieces.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:

@@ -3,8 +3,9 @@
 Links join the documents of a group (equal texts here), and optional edges join groups. A group's documents are
 interchangeable, so the state is how many of them lie in each shard: at most `shards` rows a group, never a pair of
 documents, however large a group is. A round joins that state with the edges, lets every (group, shard) row ask for
-the group's strongest shard that has room, thins the requests to flows under which no shard exceeds its capacity, and
-writes the new state. Documents without links settle last and make all shards equal.
+the group's strongest shard that still takes documents in, thins the requests to flows under which no shard exceeds its capacity, and
+writes the new state. Documents without links settle last and make all shards equal; the fewer there are, the less
+room there is to gather a group that is larger than a shard's free part.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import SALTS, hot_keys, salt, spread_join, staged
 
 SHARDS = 24
-ROUNDS = 6
+ROUNDS = 8
 BUCKET_ROWS = 50_000
 
 
@@ -44,6 +45,7 @@ def flows(asked: np.ndarray, load: np.ndarray, capacity: np.ndarray) -> np.ndarr
 def propagate(state: DataFrame, capacity: list[int], edges: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
     """state (grp, shard, n) after label propagation; edges (a, b, weight), if any, link groups in both directions."""
     shards, cap = len(capacity), np.array(capacity)
+    shut = np.zeros(shards, bool)  # full shards that nothing leaves: asking for them again would be in vain
     for turn in range(rounds):
         load = np.zeros(shards)
         for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():  # one row a shard
@@ -53,15 +55,17 @@ def propagate(state: DataFrame, capacity: list[int], edges: DataFrame | None = N
             both = edges.select("a", "b", "weight").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "weight"))
             heard = both.join(state.withColumnRenamed("grp", "b"), "b").select(F.col("a").alias("grp"), "shard", (F.col("n") * F.col("weight")).cast("long").alias("n"))
             votes = state.unionByName(heard).groupBy("grp", "shard").agg(F.sum("n").alias("n"))
-        room = [int(s) for s in range(shards) if load[s] < cap[s]]
-        rank = F.struct(F.col("n"), F.xxhash64("grp", "shard").alias("h"), F.col("shard").alias("to"))
+        room = [s for s in range(shards) if not shut[s]]
+        # ties: any fixed choice within a group; over edges both ends must choose alike, or they would change places
+        tie = F.xxhash64("grp", "shard") if edges is None else F.xxhash64("shard", F.lit(turn))
+        rank = F.struct(F.col("n"), tie.alias("h"), F.col("shard").alias("to"))
         best = votes.where(F.col("shard").isin(room)).groupBy("grp").agg(F.max(rank).alias("best"))
         asks = state.join(best, "grp", "left").select("grp", "shard", "n", F.col("best.to").alias("to"), F.col("best.n").alias("v"), F.col("best.h").alias("h"))
         if edges is not None:
             asks = asks.join(votes.select("grp", "shard", F.col("n").alias("own")), ["grp", "shard"])
         else:
             asks = asks.withColumn("own", F.col("n"))
-        wants = F.col("to").isNotNull() & (F.col("to") != F.col("shard")) & ((F.col("v") > F.col("own")) | ((F.col("v") == F.col("own")) & (F.col("h") > F.xxhash64("grp", "shard"))))
+        wants = F.col("to").isNotNull() & (F.col("to") != F.col("shard")) & ((F.col("v") > F.col("own")) | ((F.col("v") == F.col("own")) & (F.col("h") > tie)))
         asks = staged(asks.select("grp", "shard", "n", F.when(wants, F.col("to")).alias("to")), "asks")
         asked = np.zeros((shards, shards))
         for r in asks.where("to is not null").groupBy("shard", "to").agg(F.sum("n").alias("n")).collect():  # shards ** 2 rows
@@ -70,8 +74,10 @@ def propagate(state: DataFrame, capacity: list[int], edges: DataFrame | None = N
             break
         given = flows(asked, load, cap)
         share = np.divide(given, asked, out=np.zeros_like(given), where=asked > 0)
-        if not share.any():
+        refused = (asked.sum(axis=0) > 0) & (given.sum(axis=0) < 0.1 * asked.sum(axis=0))
+        if not share.any() and not (refused & ~shut).any():
             break
+        shut |= refused
         rate = F.element_at(F.array(*[F.lit(float(v)) for v in share.ravel()]), F.col("shard") * shards + F.coalesce("to", F.lit(0)) + 1)
         moved = F.when(F.col("to").isNull(), F.lit(0)).otherwise(F.least(F.col("n"), F.floor(F.col("n") * rate + _uniform("grp", "shard", F.lit(turn)))))
         split = asks.withColumn("m", moved.cast("long")).select("grp", F.explode(F.array(F.struct("shard", (F.col("n") - F.col("m")).alias("n")), F.struct(F.col("to").alias("shard"), F.col("m").alias("n")))).alias("x")).select("grp", "x.*")
@@ -82,7 +88,7 @@ def propagate(state: DataFrame, capacity: list[int], edges: DataFrame | None = N
 def _ranked(df: DataFrame, keys: list[str], order: list[str], buckets: int, n: str | None = None) -> DataFrame:
     """df with _at: how many units (rows, or the sum of n) of its keys come before a row; buckets keep tasks bounded."""
     size = F.lit(1).cast("long") if n is None else F.col(n)
-    df = staged(df.withColumn("_bucket", salt(buckets, *order)), "bucketed")
+    df = staged(df.withColumn("_bucket", salt(buckets, *order, F.lit(len(keys)))), "bucketed")  # a draw of its own for each use
     sums = df.groupBy(*keys, "_bucket").agg(F.sum(size).alias("_n"))
     before = sums.withColumn("_before", F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket")) - F.col("_n")).drop("_n") if keys else None
     if before is None:

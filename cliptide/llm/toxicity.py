@@ -31,7 +31,7 @@ _SPELLED = "abcdefghijklmnopqrstuvwxyz0123456789ABCDEF|"
 #: Bounds of what is trained on: labelled documents of each class (lowest id hash first), words, landmarks.
 TOXIC_DOCS, CLEAN_DOCS, CLEAN_TOKENS = 1500, 3000, 100_000
 MAX_POSITIVE, MAX_LANDMARKS = 128, 512
-VARIANT_TRUST = 0.2
+VARIANT_TRUST = 1.0
 MIN_LOG_ODDS = 2.5
 CHUNK = 1 << 20
 
@@ -174,7 +174,7 @@ def _token_table(sample: DataFrame) -> DataFrame:
     return rows.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
 
 
-def variants(token: str, r: random.Random, n: int = 4) -> list[str]:
+def variants(token: str, r: random.Random, n: int = 8) -> list[str]:
     """The token with a character inserted or doubled somewhere inside."""
     out = []
     for _ in range(n):

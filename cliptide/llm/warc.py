@@ -86,7 +86,7 @@ class ArchiveWriter:
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_checksum=True)
         for data in self.waiting:
             self._put(self.compressor.compress(data))
-        self.waiting = []
+        self.waiting, self.waiting_bytes = [], 0
 
     def close(self) -> None:
         if self.compressor is None:
@@ -94,13 +94,41 @@ class ArchiveWriter:
         self.sink.close()
 
 
+class Frames(io.RawIOBase):
+    """The plain bytes of frame after frame; a frame cut short raises."""
+
+    def __init__(self, source, trained: zstandard.ZstdCompressionDict):
+        self.source, self.reader = source, zstandard.ZstdDecompressor(dict_data=trained)
+        self.frame, self.raw, self.plain = None, b"", memoryview(b"")
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, out) -> int:
+        while not self.plain:
+            if not self.raw:
+                self.raw = self.source.read(1 << 16)
+                if not self.raw:
+                    if self.frame is not None:
+                        raise ValueError("an archive is cut short")
+                    return 0
+            self.frame = self.frame or self.reader.decompressobj()
+            self.plain = memoryview(self.frame.decompress(self.raw))
+            self.raw = b""
+            if self.frame.eof:
+                self.raw, self.frame = self.frame.unused_data, None
+        n = min(len(out), len(self.plain))
+        out[:n], self.plain = self.plain[:n], self.plain[n:]
+        return n
+
+
 def read_archive(source) -> Iterator[tuple[dict[str, str], bytes]]:
     """(WARC header, block) of every record; source is a binary file object. A broken archive raises."""
     magic, size = struct.unpack("<II", source.read(8))
     if magic != SKIPPABLE:
         raise ValueError("an archive must start with its dictionary's skippable frame")
     trained = zstandard.ZstdCompressionDict(zstandard.ZstdDecompressor().decompress(source.read(size)))
-    plain = io.BufferedReader(zstandard.ZstdDecompressor(dict_data=trained).stream_reader(source, read_across_frames=True), 1 << 20)
+    plain = io.BufferedReader(Frames(source, trained), 1 << 20)
     while line := plain.readline():
         if line.strip() != b"WARC/1.1":
             raise ValueError("not a WARC record")
@@ -142,7 +170,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
                     name = f"{root}/{uuid.uuid4().hex}.warc.zst"
                     out = ArchiveWriter(store.open_output_stream(name))
                 out.add(record(page, url, payload, digest, refers))
-                if out.bytes >= archive_bytes:
+                if out.bytes + out.waiting_bytes >= archive_bytes:
                     finish()
                     out = None
         if out is not None:
