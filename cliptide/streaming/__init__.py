@@ -1 +1 @@
-
+"""No event-time streaming: annotation batches restart from their state tables, see cliptide.plans.annotate."""
