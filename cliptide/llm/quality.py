@@ -67,18 +67,19 @@ RULES: tuple[Rule, ...] = (
     Rule("few_words", lambda: F.col("n_words") < 10),
     Rule("repeated_windows", lambda: 100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
     Rule("symbols", lambda: 10 * F.col("n_symbols") > F.col("n_words")),
-    Rule("duplicate_lines", lambda: 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+    Rule("duplicate_lines", lambda: 100 * F.col("n_dup_lines") > 50 * F.col("n_lines")),
     Rule("shouting", lambda: 2 * F.col("n_shouted") > F.col("n_words")),
     Rule("word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 25 * F.col("n_words"))),
+    Rule("stutter", lambda: 100 * F.col("n_stutter") > 30 * F.col("n_words")),
 )
 POLICIES: tuple[Policy, ...] = (
     Policy("v1", ("few_words", "repeated_windows")),
-    Policy("v2", ("few_words", "repeated_windows", "symbols", "duplicate_lines", "shouting", "word_length")),
+    Policy("v2", ("few_words", "repeated_windows", "symbols", "duplicate_lines", "shouting", "word_length", "stutter")),
 )
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and n_shouted (all long).
+    """docs with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stutter and n_shouted (all long).
 
     A null or empty text has no words and zero everywhere. Columns of docs with these names are replaced.
     """
@@ -92,6 +93,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_lines": F.size("_lines").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": covered_words(window_hashes(F.col("_words"))),
+            "n_stutter": _let(F.col("_words"), lambda w: F.size(F.filter(w, lambda x, i: F.coalesce(x == F.get(w, i - 1), F.lit(False))))).cast("long"),
             "n_shouted": F.regexp_count(t, F.lit(r"(?<![^\x20\x09-\x0D])\p{Lu}{2,}[^\x20\x09-\x0D\p{Ll}]*!!")).cast("long"),
         }
     ).drop("_words", "_lines")
