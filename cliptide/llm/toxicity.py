@@ -102,15 +102,51 @@ def codes(token: str) -> np.ndarray:
     return np.array([END, *map(_SPELLED.index, token), END], np.int32)
 
 
+def sparse_features(token: str) -> tuple[np.ndarray, np.ndarray]:
+    """The subsequences of one token and their normalised weights."""
+    letters, n = codes(token).astype(np.int64), len(token) + 2
+    at, value = [], []
+    for a in range(1, GAP + 1):
+        for b in range(1, GAP + 1):
+            m = n - a - b
+            if m > 0:
+                at.append((letters[:m] * LETTERS + letters[a : a + m]) * LETTERS + letters[a + b : a + b + m])
+                value.append(np.full(m, DECAY ** (a + b + 1)))
+    if not at:
+        return np.zeros(0, np.int64), np.zeros(0)
+    own, place = np.unique(np.concatenate(at), return_inverse=True)
+    return own, np.bincount(place, np.concatenate(value)) / norms(np.array([n]))[0]
+
+
 def features(token: str) -> np.ndarray:
     """The normalised feature vector of one token."""
-    letters, n = codes(token), len(token) + 2
     out = np.zeros(LETTERS**3)
-    for i in range(n):
-        for j in range(i + 1, min(n, i + GAP + 1)):
-            for k in range(j + 1, min(n, j + GAP + 1)):
-                out[(letters[i] * LETTERS + letters[j]) * LETTERS + letters[k]] += DECAY ** (k - i + 1)
-    return out / norms(np.array([n]))[0]
+    at, value = sparse_features(token)
+    out[at] = value
+    return out
+
+
+class Landmarks:
+    """Tokens whose kernels with others are taken; only their own subsequences are held."""
+
+    def __init__(self, tokens: list[str]):
+        parts = [sparse_features(t) for t in tokens]
+        self.columns = np.unique(np.concatenate([at for at, _ in parts]))
+        self.rows = np.zeros((len(tokens), len(self.columns)))
+        for k, (at, value) in enumerate(parts):
+            self.rows[k, np.searchsorted(self.columns, at)] = value
+
+    def kernel(self, token: str) -> np.ndarray:
+        at, value = sparse_features(token)
+        place = np.minimum(np.searchsorted(self.columns, at), len(self.columns) - 1)
+        known = self.columns[place] == at
+        return self.rows[:, place[known]] @ value[known]
+
+    def folded(self, weights: np.ndarray) -> np.ndarray:
+        """One weight a subsequence for a weighted sum of the landmarks' kernels."""
+        out = np.zeros(LETTERS**3)
+        out[self.columns] = self.rows.T @ weights
+        return out
 
 
 @dataclass
@@ -246,22 +282,28 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     def decide(weights: np.ndarray, bias: float) -> np.ndarray:
         return token_sums(joined, starts, weights.astype(np.float32)) / norms(lengths) + bias
 
-    seen_positive = np.array([features(t) for t in positive])
-    near = np.max([decide(v, 0.0) for v in seen_positive], axis=0) if clean else np.zeros(0)
+    near = np.max([decide(features(t), 0.0) for t in positive[:32]], axis=0) if clean else np.zeros(0)
     hard = [int(k) for k in np.argsort(-near, kind="stable")[:1000]]
     rest = [k for k in range(0, len(clean), max(1, len(clean) // 1000))]
     marks = positive + [clean[k] for k in hard[: max(0, MAX_LANDMARKS - len(positive))]]
-    z = np.array([features(t) for t in marks])
-    values, vectors = np.linalg.eigh(z @ z.T)
-    root = vectors / np.sqrt(np.maximum(values, 1e-8)) @ vectors.T * 1.0
+    landmarks = Landmarks(marks)
+    values, vectors = np.linalg.eigh(landmarks.rows @ landmarks.rows.T)
+    root = vectors / np.sqrt(np.maximum(values, 1e-8)) @ vectors.T
+    known: dict[str, np.ndarray] = {}
+
+    def mapped(token: str) -> np.ndarray:
+        if token not in known:
+            known[token] = root @ landmarks.kernel(token)
+        return known[token]
+
     chosen = dict.fromkeys(hard + rest)
     for _ in range(5):  # wrongly high clean tokens join the negatives
         negative = [clean[k] for k in chosen]
-        x = np.array([features(t) for t in positive + made + negative])
+        x = np.array([mapped(t) for t in positive + made + negative])
         y = np.array([1.0] * (len(positive) + len(made)) + [-1.0] * len(negative))
         trust = np.array([1.0] * len(positive) + [VARIANT_TRUST] * len(made) + [1.0] * len(negative))
-        w, bias = fit_machine(x @ z.T @ root, y, trust)
-        weights = z.T @ (root @ w)
+        w, bias = fit_machine(x, y, trust)
+        weights = landmarks.folded(root @ w)
         worst = np.argsort(-decide(weights, bias), kind="stable")[:600] if clean else []
         before = len(chosen)
         chosen |= dict.fromkeys(int(k) for k in worst)
