@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import functools
 import re
-import struct
+import sys
 import unicodedata
+from array import array
 
 import regex
 
@@ -18,6 +19,7 @@ CACHE_WORDS = 600_000
 #: Fixed value: the tokenizer's own split, as it falls out on lower-cased words below U+0250.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+")
 _LIBRARY_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_BEYOND = re.compile("[^\x00-\u024f]")
 _PYTHON_ONLY = re.compile("[\x1c-\x1f]")
 
 
@@ -37,6 +39,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def _packed(ids: list[int]) -> bytes:
+    held = array("I", ids)
+    if sys.byteorder == "big":
+        held.byteswap()
+    return held.tobytes()
+
+
 class _Words(dict):
     """Word to its ids as little-endian unsigned 32-bit integers."""
 
@@ -52,8 +61,7 @@ class _Words(dict):
         got = self.pieces.get(piece)
         if got is None:
             letters = piece.encode().decode("latin-1").translate(_LETTERS)
-            ids = [t.id for t in self.model.tokenize(letters)]
-            got = struct.pack(f"<{len(ids)}I", *ids)
+            got = _packed([t.id for t in self.model.tokenize(letters)])
             if len(self.pieces) >= CACHE_WORDS:
                 self.pieces.clear()
             if len(piece) <= 64:
@@ -63,10 +71,14 @@ class _Words(dict):
     def __missing__(self, word: str) -> bytes:
         if max(word) < "\u0250":
             lowered = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
-            got = b"".join(map(self._ask, _SPLIT.findall(lowered)))
+            if lowered.isascii() and lowered.isalpha():
+                got = self._ask(lowered)
+            elif lowered[-1] in ".," and lowered[:-1].isascii() and lowered[:-1].isalpha():
+                got = self._ask(lowered[:-1]) + self._ask(lowered[-1])
+            else:
+                got = b"".join(map(self._ask, _SPLIT.findall(lowered)))
         else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            got = struct.pack(f"<{len(ids)}I", *ids)
+            got = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         if len(self) >= CACHE_WORDS:
             self.clear()
         if len(word) <= 64:
@@ -84,5 +96,9 @@ def packed_ids(text: str | None, path: str) -> bytes:
     if not text:
         return b""
     known = words(path)
+    if text.isascii():
+        text = text.lower()
+    elif not _BEYOND.search(text):  # as the library's normalizer does; elsewhere lower case can depend on context
+        text = unicodedata.normalize("NFC", text).lower()
     split = _LIBRARY_SPACE.split(text) if _PYTHON_ONLY.search(text) else text.split()
     return b"".join([known[w] for w in split if w])
