@@ -25,6 +25,7 @@ VERBS = {
     "detach": "detach detaches detached remove removes removed disconnect disconnects disconnected",
     "transit": "walk walks walked reach reaches reached",
 }
+# Fixed values of the output: the caption where there is none, and how many captions a summary tells.
 NO_CAPTION = "No reliable visible-action summary is available; review the uncovered timeline."
 MOST_CAPTIONS = 8
 PREVIOUS_REPLY = 12000
@@ -116,9 +117,19 @@ def model_object(reply: Column) -> Column:
     return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), F.to_json(parsed))
 
 
+def user_prompt(episode_id: Column, duration: Column, task_hint: Column, times: Column) -> Column:
+    """What a backend is asked for one episode: its length, hint and sample times, and the shape of the reply."""
+    shape = '{"video_level_instruction": "...", "subtasks": [{"start_time_sec": 0.0, "end_time_sec": 1.0, "action": "...", "fine_action": "...", "object": "... or null", "instruction": "..."}]}'
+    samples = F.to_json(F.transform(times, lambda t, i: F.struct(i.alias("sample_index"), t.alias("time_sec"))))
+    return F.concat(
+        F.lit("Episode "), episode_id, F.lit(", "), F.format_string("%.3f", duration), F.lit(" seconds. Task hint: "), F.coalesce(F.nullif(task_hint, F.lit("")), F.lit("none")), F.lit(".\nSamples: "), samples,
+        F.lit(f"\nAnswer with one JSON object of this shape and nothing else:\n{shape}\nActions: {', '.join((*VERBS, 'idle', 'other'))}. Where none fits, use other and name the visible act in fine_action.\n"),
+    )
+
+
 def retry_prompt(base: Column, errors: Column, previous: Column, simplify: Column) -> Column:
     """The prompt of another attempt: the base, what to correct, the last reply cut short, and a plea for brevity."""
-    fix = F.when(F.size(errors) > 0, F.concat(F.lit("\nThe previous response failed validation. Correct these issues: "), F.array_join(errors, ", "), F.lit(". Return a complete corrected JSON object.\n"))).otherwise("")
-    last = F.when(F.coalesce(previous, F.lit("")) != "", F.concat(F.lit("Previous response:\n"), F.left(previous, F.lit(PREVIOUS_REPLY)))).otherwise("")
-    brief = F.when(simplify, F.lit("\nFinal retry: reduce complexity. Return only the required JSON keys, use the fewest subtasks justified by visible object/action changes, and do not add explanations.\n")).otherwise("")
+    fix = F.when(F.size(errors) > 0, F.concat(F.lit("\nYour last answer was refused for: "), F.array_join(errors, ", "), F.lit(". Answer again with the whole JSON object.\n"))).otherwise("")
+    last = F.when(F.coalesce(previous, F.lit("")) != "", F.concat(F.lit("Last answer:\n"), F.left(previous, F.lit(PREVIOUS_REPLY)))).otherwise("")
+    brief = F.when(simplify, F.lit("\nThis is the last attempt: only the required keys, as few subtasks as the pictures justify.\n")).otherwise("")
     return F.concat(base, fix, last, brief)

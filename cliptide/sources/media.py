@@ -47,8 +47,36 @@ def frame_count(reported: Column, duration: Column, fps: Column) -> Column:
     return F.coalesce(reported, F.rint(duration * fps).cast("int"))
 
 
+# How published clips are encoded.
+QUIET = "-hide_banner -loglevel error -y"
+ENCODING = "-map 0:v:0 -an -vf scale=960:-2 -c:v libx264 -preset veryfast -pix_fmt yuv420p -movflags +faststart"
+
+
 def cut_command(source: str, seek: float, seconds: float, target: str, crf: int) -> list[str]:
-    return ["ffmpeg", "-hide_banner", "-loglevel", "error", "-y", "-ss", f"{seek:.3f}", "-i", source, "-t", f"{seconds:.3f}", "-map", "0:v:0", "-an", "-vf", "scale=960:-2", "-c:v", "libx264", "-preset", "veryfast", "-crf", str(crf), "-pix_fmt", "yuv420p", "-movflags", "+faststart", target]
+    """The command that cuts `seconds` from `seek` on out of a file."""
+    return ["ffmpeg", *QUIET.split(), "-ss", f"{seek:.3f}", "-i", source, "-t", f"{seconds:.3f}", *ENCODING.split(), "-crf", str(crf), target]
+
+
+def frames(episodes: DataFrame, read: Callable[[str, float], bytes], folder: Callable[[str, int], str], write: Callable[[str, bytes], None]) -> DataFrame:
+    """The sample manifest of episodes (episode_id, path, times, source_times): each frame read, written and listed.
+
+    read(path, seconds) gives the encoded picture and raises where it can't; the row then says frame_sampling_failure.
+    """
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = []
+            for r in pdf.itertuples():
+                target, error = folder(r.episode_id, r.sample_index), None
+                try:
+                    write(target, read(r.path, r.source_sec))
+                except Exception:  # noqa: BLE001  any reader's failure is the episode's
+                    target, error = None, "frame_sampling_failure"
+                out.append((r.episode_id, r.sample_index, r.original_time_sec, target, error))
+            yield pd.DataFrame(out, columns=["episode_id", "sample_index", "original_time_sec", "image_path", "error"])
+
+    rows = episodes.select("episode_id", "path", F.posexplode(F.arrays_zip("times", "source_times")).alias("sample_index", "t")).select("episode_id", "path", "sample_index", F.col("t.times").alias("original_time_sec"), F.col("t.source_times").alias("source_sec"))
+    return rows.mapInPandas(run, "episode_id string, sample_index int, original_time_sec double, image_path string, error string")
 
 
 def export(df: DataFrame, kind: str, run_command: Callable[[list[str]], int], probe: Callable[[str], float | None] = probe_duration, crf: int = 24) -> DataFrame:

@@ -56,7 +56,7 @@ def test_text(spark):
     assert json.loads(read('```json\n{"a": 1}\n```')) == {"a": 1} and json.loads(read('so {"a": {"b": 2}} end')) == {"a": {"b": 2}}
     assert [read(x) for x in ("[1]", "none", "{broken", "7", "", None)] == [None] * 6
     prompt = text.retry_prompt(F.lit("P"), F.array(F.lit("x"), F.lit("y")), F.lit("r" * 20_000), F.lit(True))
-    assert value(spark, prompt).startswith("P\nThe previous response failed validation. Correct these issues: x, y.") and value(spark, prompt).count("r" * 12000) == 1
+    assert value(spark, prompt).startswith("P\nYour last answer was refused for: x, y.") and value(spark, prompt).count("r" * 12000) == 1
 
 
 def test_repair(spark):
@@ -110,7 +110,7 @@ class Stubborn:
 
     def annotate(self, request):
         good = json.dumps({"video_level_instruction": "Do.", "subtasks": [{"start_time_sec": 0, "end_time_sec": 10, "action": "move", "object": "cup", "instruction": "Go."}, 7]})
-        e, again = request["episode_id"], "failed validation" in request["prompt"]
+        e, again = request["episode_id"], "was refused for" in request["prompt"]
         if e == "down" or e == "once" and not again:
             raise RuntimeError("no answer")
         if e == "idle":
@@ -261,6 +261,33 @@ def test_prepare_to_finalize(spark, tmp_path):
     assert [r.episode_id for r in long_video.stale(known, eps).collect()] == ["old"]
 
 
+def test_frames_and_prompt(spark):
+    def read(path, seconds):
+        if seconds > 5:
+            raise OSError("no frame")
+        return b"jpeg"
+
+    eps = spark.createDataFrame([("e", "/v.mp4", [1.0, 6.0], [1.5, 6.5])], "episode_id string, path string, times array<double>, source_times array<double>")
+    out = media.frames(eps, read, lambda e, k: f"/tmp/{e}_{k}.jpg", lambda p, b: None).orderBy("sample_index").collect()
+    assert [(r.image_path, r.error) for r in out] == [("/tmp/e_0.jpg", None), (None, "frame_sampling_failure")]
+    said = value(spark, text.user_prompt(F.lit("e"), F.lit(6.0), F.lit(None).cast("string"), F.lit([0.5, 1.5]).cast("array<double>")))
+    assert "Episode e, 6.000 seconds" in said and '"time_sec":1.5' in said and "none" in said
+
+
+def test_settings(spark, tmp_path):
+    from cliptide.plans import settings
+
+    (tmp_path / "c.json").write_text(json.dumps({"validation": {"continuity_tolerance_sec": 0.25}, "backend": {"type": "mock"}}))
+    s = settings.load(f"{tmp_path}/c.json")
+    assert s.validation.continuity_tolerance_sec == 0.25 and s.segmentation.min_subtask_duration_sec == 3.0 and s.backend.type == "mock"
+    assert settings.load_text(settings.snapshot(s)) == s
+    for bad in ('{"validation": {"oops": 1}}', '{"sampling": {"fps": 0}}', '{"backend": {"type": "other"}}', "[1]"):
+        with pytest.raises(ValueError):
+            settings.load_text(bad)
+    runs = spark.createDataFrame([("e", "t1", 1), ("e", "t2", 2), ("f", "t1", 3)], "episode_id string, run_ts string, v int")
+    assert {r.episode_id: r.v for r in settings.latest(runs).collect()} == {"e": 2, "f": 3}
+
+
 def test_reports(spark):
     rows = spark.createDataFrame([("c<1>", 0.0, 0.01, 10.0, "move", 'a "b"', ["x"]), ("c<1>", 5.0, 10.0, 10.0, "cut", None, [])], "clip_uid string, start_sec double, end_sec double, source_duration_sec double, action string, label string, quality_flags array<string>")
     page = reports.pages(rows).first().page
