@@ -74,4 +74,35 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_mixing, op3_sharding, op4_simhash, op5_media, op6_secrets, op7_quality, op8_extraction, op9_toxicity, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+#: SQL for the queries that it can express whole; the others hash, train, iterate or write files.
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+     f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS low FROM p),
+     g AS (SELECT *, CASE WHEN strlen(h) >= 100 AND page_id > low THEN low END AS refers_to FROM f)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, url
+FROM g""",
+    "op7_quality": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+     w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+     u AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+     v AS (SELECT rid, i, word, lag(word) OVER q AS before,
+                  word || ' ' || lead(word, 1) OVER q || ' ' || lead(word, 2) OVER q || ' ' || lead(word, 3) OVER q || ' ' || lead(word, 4) OVER q AS win
+           FROM u WINDOW q AS (PARTITION BY rid ORDER BY i)),
+     c AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM v WHERE win IS NOT NULL),
+     k AS (SELECT DISTINCT rid, i + k AS j FROM c, generate_series(0, 4) AS g(k) WHERE n > 1),
+     rep AS (SELECT rid, count(*) AS n FROM k GROUP BY 1),
+     st AS (SELECT rid, count(*) AS n FROM v WHERE word = before GROUP BY 1),
+     m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+                  CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                  CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines,
+                  coalesce(rep.n, 0) AS n_repeat_words, coalesce(st.n, 0) AS n_stutter,
+                  len(list_filter(ws, lambda x: regexp_matches(x, '^\p{Lu}{2,}[^\p{Ll}]*!!'))) AS n_shouted
+           FROM w LEFT JOIN rep USING (rid) LEFT JOIN st USING (rid)),
+     b AS (SELECT *, CAST((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+                     + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (2 * n_shouted > n_words)::INT
+                     + 32 * (word_chars < 2 * n_words OR word_chars > 25 * n_words)::INT + 64 * (100 * n_stutter > 30 * n_words)::INT AS BIGINT) AS failure_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failure_bits & 3) <> 0 AS base_failed, failure_bits = 0 AS kept, failure_bits FROM b""",
+}
