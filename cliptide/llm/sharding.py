@@ -162,7 +162,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, edges: DataFrame | No
     places = places.select(F.col("grp").alias("g"), F.col("_s").alias("s"), "lo", "hi", "shard")
     placed = linked.join(places, (F.col("g") == F.col("grp")) & (F.col("s") == F.col("_s")) & (F.col("_r") >= F.col("lo")) & (F.col("_r") < F.col("hi"))).select("doc_id", "size", "text_crc32", "shard")
     # documents without links fill what room is left, in one distributed ranking
-    buckets = max(SALTS, -(-total // BUCKET_ROWS))
+    buckets = max(16 * SALTS, -(-total // BUCKET_ROWS))
     ranked = _ranked(free, [], ["doc_id", "text_crc32"], buckets)
     ends = list(accumulate(room))
     shard = F.lit(shards - 1)
