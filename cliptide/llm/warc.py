@@ -196,8 +196,8 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = filesystem(folder)
         for b in batches:
-            for path in b.column(0).to_pylist():
-                rows, held = [], 0
+            for path, records in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                rows, held, seen = [], 0, 0
                 with store.open_input_stream(path) as f:
                     for head, block in read_archive(f):
                         http, _, payload = block.partition(b"\r\n\r\n")
@@ -209,9 +209,12 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> D
                         refers = None if first else number(head["WARC-Refers-To"])
                         rows.append((number(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), head["WARC-Type"], refers, digest, size, payload if payloads and first else None))
                         held += len(payload) if payloads else 100
+                        seen += 1
                         if held > 4 << 20:
                             yield batch(rows)
                             rows, held = [], 0
+                if seen != records:
+                    raise ValueError(f"{path} holds {seen} of {records} records")
                 yield batch(rows)
 
     names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
@@ -222,7 +225,7 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> D
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
     schema = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
-    out = archives.select("path").repartition(n).mapInArrow(run, schema)
+    out = archives.select("path", "records").repartition(n).mapInArrow(run, schema)
     return out if payloads else out.drop("payload")
 
 
