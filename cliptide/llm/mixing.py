@@ -99,7 +99,9 @@ def fit(members: DataFrame, targets: np.ndarray, least: float = 0.0, most: float
     for a in range(k):
         for b in range(a + 1):
             gram[a, b] = gram[b, a] = next(it) or 0.0
-    inverse = np.linalg.pinv(gram + np.eye(k) * max(gram.trace(), 1e-300) * 1e-12)
+    if not gram.any():  # no tokens at all: nothing can be fitted
+        return []
+    inverse = np.linalg.pinv(gram + np.eye(k) * gram.trace() * 1e-12)
     steps: list[np.ndarray] = []
     scale = max(float(np.abs(targets).max()), 1e-300)
     for _ in range(rounds):

@@ -63,12 +63,13 @@ def test_all_rows_in_full_groups(spark):
 
 
 def test_edges_pull_groups_together(spark):
-    df = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    df = spark.range(1600).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
     pair = lambda k: F.unhex(F.md5(F.concat(F.lit("t"), k.cast("string"))))
     edges = spark.range(0, 400, 2).select(pair(F.col("id")).alias("a"), pair(F.col("id") + 1).alias("b"), F.lit(1).alias("weight"))
-    rows = {r.doc_id: r.shard for r in sharding.shard_documents(df, 8, edges).collect()}
+    found = sharding.shard_documents(df, 8, edges).collect()  # three documents in four are free to make room
+    rows = {r.doc_id: r.shard for r in found}
     assert np.mean([rows[k] == rows[k + 1] for k in range(0, 400, 2)]) > 0.5
-    check_slots(sharding.shard_documents(df, 8, edges).collect(), 8)
+    check_slots(found, 8)
 
 
 def test_flows_never_overfill():
