@@ -49,7 +49,7 @@ _CLASS = _classes()
 
 
 def norms(lengths: np.ndarray) -> np.ndarray:
-    """Root of the kernel of a token with itself, each occurrence of a subsequence counted by itself."""
+    """Root of the kernel of a token with itself if none of its subsequences repeats: never above the true root."""
     total = np.zeros(len(lengths))
     for a in range(1, GAP + 1):
         for b in range(1, GAP + 1):
@@ -102,20 +102,27 @@ def codes(token: str) -> np.ndarray:
     return np.array([END, *map(_SPELLED.index, token), END], np.int32)
 
 
-def sparse_features(token: str) -> tuple[np.ndarray, np.ndarray]:
-    """The subsequences of one token and their normalised weights."""
-    letters, n = codes(token).astype(np.int64), len(token) + 2
-    at, value = [], []
-    for a in range(1, GAP + 1):
-        for b in range(1, GAP + 1):
-            m = n - a - b
-            if m > 0:
-                at.append((letters[:m] * LETTERS + letters[a : a + m]) * LETTERS + letters[a + b : a + b + m])
-                value.append(np.full(m, DECAY ** (a + b + 1)))
+def subsequences(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct subsequences of one token and their summed weights."""
+    letters, n = letters.astype(np.int64), len(letters)
+    spans = [(a, b, n - a - b) for a in range(1, GAP + 1) for b in range(1, GAP + 1) if n > a + b]
+    at = [(letters[:m] * LETTERS + letters[a : a + m]) * LETTERS + letters[a + b : a + b + m] for a, b, m in spans]
     if not at:
         return np.zeros(0, np.int64), np.zeros(0)
+    if n > 2000:
+        dense = np.zeros(LETTERS**3)
+        for (a, b, _), part in zip(spans, at):
+            dense += np.bincount(part, minlength=LETTERS**3) * DECAY ** (a + b + 1)
+        own = np.flatnonzero(dense)
+        return own, dense[own]
     own, place = np.unique(np.concatenate(at), return_inverse=True)
-    return own, np.bincount(place, np.concatenate(value)) / norms(np.array([n]))[0]
+    return own, np.bincount(place, np.concatenate([np.full(m, DECAY ** (a + b + 1)) for a, b, m in spans]))
+
+
+def sparse_features(token: str) -> tuple[np.ndarray, np.ndarray]:
+    """The subsequences of one token and their weights, of length 1 as a vector."""
+    at, value = subsequences(codes(token))
+    return at, value / np.sqrt(value @ value) if len(value) else value
 
 
 def features(token: str) -> np.ndarray:
@@ -166,10 +173,21 @@ class Model:
                 end = cut + 1 if cut > at else end
             letters, starts, lengths = tokens_of(data[at:end])
             if len(lengths):
-                best = max(best, float((token_sums(letters, starts, self.weights) / norms(lengths)).max()) + self.bias)
+                best = max(best, self._best(letters, starts, lengths, best - self.bias) + self.bias)
             at = end
         return best
 
+    def _best(self, letters: np.ndarray, starts: np.ndarray, lengths: np.ndarray, floor: float) -> float:
+        """The largest normalised sum above floor: from the largest bound down, until no bound beats the best."""
+        bound = token_sums(letters, starts, self.weights) / norms(lengths)
+        while True:
+            k = int(np.argmax(bound))
+            if bound[k] <= floor:
+                return floor
+            at, value = subsequences(letters[starts[k] : starts[k] + lengths[k]])
+            got = float(self.weights[at].astype(float) @ value / np.sqrt(value @ value)) if len(value) else 0.0
+            floor, bound[k] = max(floor, got), -np.inf
+
     def score(self, value: float) -> float:
         z = self.slope * value + self.offset
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))

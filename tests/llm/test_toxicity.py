@@ -14,7 +14,7 @@ def model(spark):
 
 
 def kernel(a, b):
-    """The kernel of two tokens by its definition, normalised by occurrences."""
+    """The kernel of two tokens by its definition, normalised."""
 
     def parts(t):
         t, out = f"<{t}>", {}
@@ -26,8 +26,8 @@ def kernel(a, b):
         return out
 
     x, y = parts(a), parts(b)
-    own = lambda t: np.sqrt(sum(max(0, len(t) + 2 - p - q) * toxicity.DECAY ** (2 * (p + q + 1)) for p in (1, 2, 3) for q in (1, 2, 3)))
-    return sum(v * y.get(u, 0) for u, v in x.items()) / own(a) / own(b)
+    own = lambda z: np.sqrt(sum(v * v for v in z.values()))
+    return sum(v * y.get(u, 0) for u, v in x.items()) / own(x) / own(y)
 
 
 def test_features_give_the_kernel():
@@ -42,12 +42,18 @@ def test_text_sums_equal_single_tokens():
     letters, starts, lengths = toxicity.tokens_of(text.encode())
     words = toxicity._words(text.encode())
     assert words[:4] == ["one", "two", "three", "four"] and "xyz" not in words  # é stands beside it: one run of letters
-    sums = token = toxicity.token_sums(letters, starts, w) / toxicity.norms(lengths)
+    sums = toxicity.token_sums(letters, starts, w)
+    best = []
     for s, t in zip(sums, words):
-        assert abs(s - w @ toxicity.features(t)) < 1e-3
+        at, value = toxicity.subsequences(toxicity.codes(t))
+        assert abs(s - w[at] @ value) < 1e-3
+        assert toxicity.norms(np.array([len(t) + 2]))[0] <= np.sqrt(value @ value) + 1e-9
+        best.append(w @ toxicity.features(t))
+    model = toxicity.Model(w, 0.25, 1.0, 0.0)
+    assert abs(model.strongest(text) - (max(0.0, max(best)) + 0.25)) < 1e-4
     assert toxicity._words(b"so i d i o t there") == ["so", "idiot", "there"]
     assert toxicity._words(b"a b cd") == ["a", "b", "cd"]
-    assert len(token) == len(words)
+    assert len(sums) == len(words)
 
 
 def test_held_out_labels_are_told_apart(spark):
