@@ -1,0 +1,141 @@
+"""Near copies of texts: five-word shingles, Jaccard similarity of at least 0.8, checked exactly.
+
+Candidates share a band of MinHash values; a pair at the threshold shares none of the BANDS bands with a probability of
+(1 - 0.8 ** WIDTH) ** BANDS, below 1e-7. No candidate is decided by an estimate: the shingles of both texts are compared.
+
+Texts with the same shingles are one node. First every node is compared with the lowest node of each of its bands, which
+joins a group of copies by few links; then the pairs of a band that are still in different components are compared, so
+that a lowest node that is no copy of the others hides no link.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import hot_keys, only, spread_join, staged
+from .simhash import components
+
+SHINGLE, LEAST = 5, (4, 5)
+BANDS, WIDTH = 32, 4
+_R = np.random.default_rng(11)
+_FACTOR = _R.integers(0, 2**63, (BANDS * WIDTH, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFT = _R.integers(0, 2**63, (BANDS * WIDTH, 1), dtype=np.uint64)
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of the whole text; a shorter text is one shingle, an empty one has none."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    digest, n = xxhash.xxh64_intdigest, max(1, len(words) - SHINGLE + 1)
+    return np.unique(np.array([digest(b" ".join(words[k : k + SHINGLE]), 42) for k in range(n)], np.uint64))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two shingle sets reaches the threshold, in whole numbers."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return LEAST[1] * both >= LEAST[0] * (len(a) + len(b) - both)
+
+
+def bands(found: np.ndarray) -> list[int]:
+    """One signed long a band; a set without shingles has none."""
+    if not len(found):
+        return []
+    low = np.full(BANDS * WIDTH, np.iinfo(np.uint64).max)
+    for k in range(0, len(found), 4096):  # bounded memory for very long texts
+        mixed = found[k : k + 4096] * _FACTOR + _SHIFT
+        low = np.minimum(low, (mixed ^ (mixed >> np.uint64(32))).min(axis=1))
+    parts = low.reshape(BANDS, WIDTH)
+    return [xxhash.xxh64_intdigest(p.tobytes(), k) - 2**63 for k, p in enumerate(parts)]
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """row, doc_id, fp (a signed long that names the set of shingles), n (its size) and bands of every row of docs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp, n, of = [], [], []
+            for t in b.column(2):
+                found = shingles(t.as_py())
+                fp.append(xxhash.xxh64_intdigest(found.tobytes(), 42) - 2**63)
+                n.append(len(found))
+                of.append(bands(found))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(of, pa.list_(pa.int64()))], ["row", "doc_id", "fp", "n", "bands"])
+
+    return docs.mapInArrow(run, "row long, doc_id long, fp long, n long, bands array<long>")
+
+
+def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts (fp, text) are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}  # a few sets, as the lowest node of a band is in many pairs
+
+        def known(fp: int, text: pa.Scalar) -> np.ndarray:
+            if fp not in held:
+                if len(held) > 64:
+                    held.pop(next(iter(held)))
+                held[fp] = shingles(text.as_py())
+            return held[fp]
+
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3))
+            good = [similar(known(a, s), known(b, t)) for a, b, s, t in rows]
+            yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
+
+    both = pairs
+    for key, other, name in (("a", "b", "s"), ("b", "a", "t")):
+        hot = hot_keys(pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key, "n")
+        both = spread_join(both, texts.select(F.col("fp").alias(key), F.col("text").alias(name)), key, hot, F.col(other), "inner")
+    return both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """row, doc_id and component of every row of docs (row, doc_id, text): the lowest row that links of copies reach.
+
+    row tells the rows of docs apart. component has (no_id, doc_id, row): the smallest doc_id leads, a null id comes
+    last, and equal ids are ordered by row. Other columns are ignored.
+    """
+    docs = only(docs, row="long", doc_id="long", text="string")
+    prints = staged(sketches(docs), "sketches")
+    reps = staged(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("label"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("bands").alias("bands")), "sets")
+    keys = staged(reps.select("fp", "n", F.explode("bands").alias("band")), "bands")
+    shared = staged(keys.groupBy("band").agg(F.min("fp").alias("low"), F.count(F.lit(1)).alias("members")).where("members > 1"), "shared")
+    hot = hot_keys(shared, "band", "members")
+    members = staged(spread_join(keys, shared.select("band", "low"), "band", hot, F.col("fp"), "inner"), "members")
+    found = reps.select("fp", "label")
+    size = F.lit(LEAST[1]) * F.least("n", "m") >= F.lit(LEAST[0]) * F.greatest("n", "m")
+    lows = reps.select(F.col("fp").alias("low"), F.col("n").alias("m"))
+    stars = members.where("fp != low").select("low", "fp", "n").distinct().join(lows, "low").where(size).select(F.col("low").alias("a"), F.col("fp").alias("b"))
+    stars = staged(stars, "stars")
+    wanted = stars.select(F.explode(F.array("a", "b")).alias("fp")).unionByName(members.select("fp")).distinct()
+    texts = docs.join(reps.select(F.col("label.row").alias("row"), "fp"), "row").select("fp", "text")
+    texts = staged(texts.join(wanted, "fp", "left_semi"), "texts")
+    links = staged(checked(stars, texts), "links")
+    state = _labelled(found, links)
+    # bands whose members are in different components: pairs that no link of a lowest node has settled
+    open_ = members.join(state, "fp").select("band", "fp", "n", "label")
+    mixed = open_.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("band")
+    open_ = staged(open_.join(mixed, "band", "left_semi"), "open")
+    other = open_.select("band", F.col("fp").alias("b"), F.col("n").alias("m"), F.col("label").alias("theirs"))
+    pairs = open_.withColumnRenamed("fp", "a").join(other, "band").where((F.col("a") < F.col("b")) & (F.col("label") != F.col("theirs")) & size)
+    pairs = staged(pairs.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
+    if pairs.limit(1).count():
+        links = staged(links.unionByName(checked(pairs, texts)), "links")
+        state = _labelled(found, links)
+    many = hot_keys(reps, "fp", "rows")
+    return spread_join(prints.select("row", "doc_id", "fp"), state, "fp", many, F.col("row")).select("row", "doc_id", F.col("label").alias("component"))
+
+
+def _labelled(found: DataFrame, links: DataFrame) -> DataFrame:
+    """fp and the smallest label that links reach."""
+    if not links.limit(1).count():
+        return found
+    moved = components(found, links).withColumnRenamed("label", "lowest")
+    return staged(found.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "label").alias("label")), "states")

@@ -1,0 +1,61 @@
+import random
+
+import corpus_pipeline
+from cliptide.llm import nearcopies
+
+
+def plain_shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def plain_components(rows):
+    sets = [plain_shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                up[root(i)] = root(j)
+    return [root(i) for i in range(len(rows))]
+
+
+def copies(n=30):
+    """Texts of 100 words and copies of them in which three words differ, some copied again: distances above two bits."""
+    r = random.Random(8)
+    out = []
+    for _ in range(n):
+        words = [f"w{r.randrange(4000)}" for _ in range(100)]
+        out.append(" ".join(words))
+        for _ in range(r.randrange(4)):
+            words = list(words)
+            for k in r.sample(range(100), r.choice((1, 2, 2, 4, 8))):
+                words[k] = f"x{r.randrange(4000)}"
+            out.append(" ".join(words))
+    r.shuffle(out)
+    return list(enumerate(out))
+
+
+def test_components_equal_brute_force(spark):
+    rows = copies()
+    df = spark.createDataFrame([(i, i, t) for i, t in rows], "row long, doc_id long, text string").repartition(5)
+    got = {x.row: x.component.row for x in nearcopies.near_copies(df).collect()}
+    want, low = plain_components(rows), {}
+    for (i, _), c in zip(rows, want):
+        low[c] = min(i, low.get(c, i))
+    assert got == {i: low[c] for (i, _), c in zip(rows, want)}
+    assert 30 <= len(set(got.values())) < len(rows)
+
+
+def test_stage_drops_real_near_copies(spark):
+    r = random.Random(4)
+    words = [f"w{r.randrange(4000)}" for _ in range(100)]
+    near = words[:40] + ["other"] + words[41:80] + ["another"] + words[81:]
+    rows = [(0, " ".join(words)), (1, " ".join(near)), (2, " ".join(r.sample(words, 100)))]
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(x.doc_id for x in left.collect()) == [0, 2]
