@@ -59,3 +59,11 @@ def test_stage_drops_real_near_copies(spark):
     rows = [(0, " ".join(words)), (1, " ".join(near)), (2, " ".join(r.sample(words, 100)))]
     left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted(x.doc_id for x in left.collect()) == [0, 2]
+
+
+def test_stage_keeps_one_row_of_each_component(spark):
+    r = random.Random(6)
+    x, y, z = (" ".join(f"w{r.randrange(4000)}" for _ in range(60)) for _ in range(3))
+    rows = [(5, x), (5, y), (3, y), (7, z), (7, z), (None, z), (None, x), (None, x + " end")]
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted((d.doc_id, d.text) for d in left.collect()) == sorted([(5, x), (3, y), (7, z)])
