@@ -35,7 +35,7 @@ AGAINST = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promos promoted promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login signin search share sharing social related recommended recommendations suggestions sidebar side aside rail menu nav navbar navigation breadcrumb breadcrumbs toolbar topbar header masthead footer foot copyright legal disclaimer comment comments commentlist discussion disqus reply replies respond response responses widget widgets pagination pager paging hidden complementary contentinfo dialog skip donate cta outbrain taboola feedback reactions rating toc".split()
 )
 FOR = frozenset("article content post entry story main prose articlebody text body".split())
-MAX_OPEN = 200
+WALLS = ("td", "th", "table", "body")
 
 
 @dataclass
@@ -74,6 +74,8 @@ def blocks(page: str) -> list[Block]:
     text: list[str] = []
     linked: list[str] = []
     open_tags: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = {}  # where each tag is open
+    walls: list[int] = []
     against = main = links = heading = 0
     in_head = False
 
@@ -97,6 +99,9 @@ def blocks(page: str) -> list[Block]:
     def drop(k: int) -> None:
         nonlocal against, main, links, heading
         for tag, kind in open_tags[k:]:
+            places[tag].pop()
+            if tag in WALLS:
+                walls.pop()
             against -= kind < 0
             main -= kind > 0
             links -= tag == "a"
@@ -118,21 +123,20 @@ def blocks(page: str) -> list[Block]:
             in_head = not m[2]
             continue
         if m[2]:
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == tag:
-                    drop(k)
-                    break
-                if open_tags[k][0] in ("td", "th", "table", "body") and tag not in ("table", "tr", "body", "html"):
-                    break
+            if places.get(tag) and (not walls or walls[-1] <= places[tag][-1] or tag in ("table", "tr", "body", "html")):
+                drop(places[tag][-1])
             continue
         if tag == "body":
             in_head = False
-        if tag in VOID or (m[4] or "").endswith("/") or len(open_tags) >= MAX_OPEN:
+        if tag in VOID or (m[4] or "").endswith("/"):
             continue
         if tag in ("p", "li", "dt", "dd", "td", "th", "tr", "option") or tag in HEADINGS:  # these close their like
             if open_tags and open_tags[-1][0] == tag:
                 drop(len(open_tags) - 1)
         kind = _kind(tag, m[4] or "", main > 0)
+        places.setdefault(tag, []).append(len(open_tags))
+        if tag in WALLS:
+            walls.append(len(open_tags))
         open_tags.append((tag, kind))
         against += kind < 0
         main += kind > 0

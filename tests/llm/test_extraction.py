@@ -61,3 +61,12 @@ def test_rows_are_kept(spark, tmp_path):
     got = sorted(map(tuple, queries.op8_extraction(spark, f"{tmp_path}/a").collect()), key=str)
     assert got == sorted([(1, "u", "", 0), (None, None, "text", 4), (2, "v", "", 0), (2, "v", "", 0)], key=str)
     assert queries.op8_extraction(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_regions_are_known_at_any_depth():
+    inside = f"<nav><p>{BODY}</p></nav><article><p>{BODY * 2}</p></article>"
+    for n in (0, 150, 250, 20_000):
+        found = extraction.blocks(f"<body>{'<div>' * n}{inside}{'</div>' * n}<footer><p>{BODY}</p></footer></body>")
+        assert [b.region for b in found] == [b.region for b in extraction.blocks(f"<body>{inside}<footer><p>{BODY}</p></footer></body>")], n
+    found = extraction.blocks(f"<body>{'<span>' * 400}{inside}")
+    assert len({b.region for b in found}) == 2
