@@ -1,13 +1,15 @@
 """Main-text extraction: flat text blocks, each judged by a decision tree over itself and its neighbours.
 
 A page is cut into blocks at block-level tags. A block's features are its words and link density, those of the block
-before and after, whether it is a heading, and the kind of the regions that enclose it. A small decision tree, trained
-on the labelled blocks below, says which blocks are main text.
+before and after, whether it is a heading, and the kind of the regions that enclose it. A decision tree, trained on a
+small table of labelled pages, says which blocks are main text. A third of those pages have no telling names
+or semantic tags, so that there the tree has to go by words and links alone.
 """
 
 from __future__ import annotations
 
 import html
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,16 +22,18 @@ from pyspark.sql import DataFrame
 from .common import only
 
 _TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|title|object|canvas|math)\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-z][a-z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|iframe|textarea|select|title)\b(?:"[^"]*"|'[^']*'|[^>"'])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)""",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")
 #: HTML's block-level elements, elements without content, and elements that never hold main text.
 BLOCKS = frozenset("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ASIDE = frozenset("nav aside footer form button dialog menu fieldset label".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FOREIGN = ("svg", "math")  # only there "/>" closes an element
 #: Words in class, id and role names that speak against and for main text.
 AGAINST = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promos promoted promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login signin search share sharing social related recommended recommendations suggestions sidebar side aside rail menu nav navbar navigation breadcrumb breadcrumbs toolbar topbar header masthead footer foot copyright legal disclaimer comment comments commentlist discussion disqus reply replies respond response responses widget widgets pagination pager paging hidden complementary contentinfo dialog skip donate cta outbrain taboola feedback reactions rating toc".split()
@@ -76,7 +80,7 @@ def blocks(page: str) -> list[Block]:
     open_tags: list[tuple[str, int]] = []
     places: dict[str, list[int]] = {}  # where each tag is open
     walls: list[int] = []
-    against = main = links = heading = 0
+    against = main = links = heading = foreign = 0
     in_head = False
 
     def close() -> None:
@@ -97,7 +101,7 @@ def blocks(page: str) -> list[Block]:
                 linked.append(piece)
 
     def drop(k: int) -> None:
-        nonlocal against, main, links, heading
+        nonlocal against, main, links, heading, foreign
         for tag, kind in open_tags[k:]:
             places[tag].pop()
             if tag in WALLS:
@@ -106,6 +110,7 @@ def blocks(page: str) -> list[Block]:
             main -= kind > 0
             links -= tag == "a"
             heading -= tag in HEADINGS
+            foreign -= tag in FOREIGN
         del open_tags[k:]
 
     at = 0
@@ -128,7 +133,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "body":
             in_head = False
-        if tag in VOID or (m[4] or "").endswith("/"):
+        if tag in VOID or (foreign or tag in FOREIGN) and _CLOSED.search(m[4] or ""):
             continue
         if tag in ("p", "li", "dt", "dd", "td", "th", "tr", "option") or tag in HEADINGS:  # these close their like
             if open_tags and open_tags[-1][0] == tag:
@@ -142,6 +147,7 @@ def blocks(page: str) -> list[Block]:
         main += kind > 0
         links += tag == "a"
         heading += tag in HEADINGS
+        foreign += tag in FOREIGN
     say(page[at:])
     close()
     return out
@@ -158,7 +164,7 @@ def rows(found: list[Block]) -> np.ndarray:
 class Tree:
     """A decision tree over numeric features, split by Gini impurity."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 1):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 14, least: int = 3):
         self.root = self._grow(x, y, depth, least)
 
     def _grow(self, x, y, depth, least):
@@ -187,30 +193,84 @@ class Tree:
         return node
 
 
-_LONG = "The river rose again in the night and by the morning the lower fields were under water as far as the old mill, where the road bends."
-_MID = "Nobody had seen the ferry since noon, and the post was late."
-_BODY = f"{_LONG} {_MID} {_LONG} {_MID}"
-_SHORT = "It rained."
-#: Labelled pages: in these, main text begins with the mark §.
-LABELLED = (
-    f"<body><nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li><li>Here</li></ul></nav><header><h2>Daily Post</h2><p>{_MID}</p></header><article><h1>§ The flood</h1><p>§{_LONG}</p><p>§{_SHORT}</p><p>§{_MID} <a href=/m>map</a></p><p>§{_LONG}</p></article><footer>&copy; 2024 Daily Post. {_BODY}</footer></body>",
-    f"<body><div class=top-menu><a href=/a>One</a> | <a href=/b>Two</a></div><div class=ad>{_BODY}</div><article><p>§{_SHORT}</p><p>§{_MID}</p><h2>§ Later</h2><p>§Yes.</p><div class=ad>{_MID}</div><p>§<a href=/x>All of it</a></p><p>§{_LONG}</p><section class=comments><h3>3 comments</h3><p>{_BODY}</p><p>{_SHORT}</p><p>{_MID}</p></section></article><aside><p>{_BODY}</p><a href=/q>More</a></aside></body>",
-    f"<body><div>Site name</div><div><a href=/1>First</a> <a href=/2>Second</a> <a href=/3>Third</a></div><div><h1>§ A plain page</h1><p>§{_LONG}</p><p>§{_LONG} {_MID}</p><p>§{_MID} {_MID}</p></div><div><a href=/4>Older story about the mill</a></div><div><a href=/5>Newer story about the road</a></div><div>All rights reserved</div></body>",
-    f"<body><div id=cookie-notice>{_BODY} <a href=/c>Accept</a></div><main><p>§{_LONG}</p><p>§{_SHORT}</p><ul><li>§{_SHORT}</li><li>§{_MID}</li></ul><blockquote>§{_MID}</blockquote><form><label>Name</label><p>{_MID}</p><button>Send</button></form><p>§Done.</p><p>§{_BODY}</p></main><div class=related><a href=/r>{_MID}</a><p>{_BODY}</p></div><div id=footer><p>{_MID}</p><p>{_SHORT}</p></div></body>",
-    f"<body><table><tr><td class=menu><a href=/1>Start</a><br><a href=/2>Map</a></td><td class=content><p>§{_MID}</p><p>§{_LONG}</p><p>§Nothing more.</p><p>§{_BODY}</p></td><td class=sidebar><p>{_MID}</p><p>{_BODY}</p></td></tr></table><div class=newsletter><p>{_MID}</p></div><p>{_SHORT}</p></body>",
-    f"<body><p><a href=/h>Home</a> &gt; <a href=/g>Guides</a></p><p>§{_LONG} {_LONG}</p><p>§{_MID} {_LONG}</p><p>§{_LONG}</p><p><a href=/n>Next page</a></p><p>Printed today</p></body>",
-    f"<body><div class=post><h2>§ Short one</h2><div>§{_SHORT}</div><div>§{_LONG}</div><div class=share><a href=/t>Share</a> this</div></div><div id=comments><div class=comment><p>{_BODY}</p><p>{_BODY}</p></div><div class=comment><p>{_MID}</p></div></div><div class=banner>{_MID}</div></body>",
-)
+_WORDS = "the river rose again in night and by morning lower fields were under water as far old mill where road bends nobody had seen ferry since noon post was late".split()
+
+
+def labelled_pages(n: int = 1200, seed: int = 3) -> list[str]:
+    """The labelled table: pages in which every block of main text begins with the mark §.
+
+    Each page is drawn from a grammar of parts: menu, path, notice, heading, paragraphs of any length, lists, share bar,
+    related links, comments, footer. Two of three pages name their parts by classes; the others are bare.
+    """
+    r = random.Random(seed)
+
+    def say(least: int, most: int) -> str:
+        words = [r.choice(_WORDS) for _ in range(r.randint(least, most))]
+        return " ".join([words[0].capitalize(), *words[1:]]) + r.choice((".", ".", "", "!"))
+
+    def links(least: int, most: int, tag: str = "li") -> str:
+        return "".join(f"<{tag}><a href=/{k}>{say(1, 4)}</a></{tag}>" for k in range(r.randint(least, most)))
+
+    def part(names: str, inner: str) -> str:
+        return f"<{r.choice(names.split('|'))}>{inner}</div>" if named else f"<div>{inner}</div>"
+
+    def paragraph() -> str:
+        draw = r.random()
+        text = say(1, 8) if draw < (0.4 if named else 0.15) else say(9, 30) if draw < 0.6 else say(31, 160)
+        if r.random() < 0.2:
+            text += f" <a href=/x>{say(1, 3)}</a>"
+        return f"<p>§{text}</p>"
+
+    def main() -> str:
+        if named and r.random() < 0.25:  # a short note: its name alone tells it
+            return "".join(f"<p>§{say(1, 12)}</p>" for _ in range(r.randint(1, 3)))
+        out = [f"<h1>§{say(2, 14)}</h1>" if r.random() < 0.9 else f"<p>§{say(31, 160)}</p>"]
+        for k in range(r.randint(1, 10)):
+            draw = r.random()
+            if draw < 0.08:
+                out.append(f"<h2>§{say(2, 8)}</h2>")
+            elif draw < 0.16:
+                out.append("<ul>" + "".join(f"<li>§{say(3, 20)}</li>" for _ in range(r.randint(2, 5))) + "</ul>")
+            elif draw < 0.2 and k:
+                out.append(f"<p>§{say(31, 120)}</p><p>§<a href=/y>{say(3, 12)}</a></p><p>§{say(31, 120)}</p>")
+            elif draw < 0.25:
+                out.append(f"<p>§{say(1 if named else 31, 120)}</p><ul>{links(3, 6)}</ul>")
+            out.append(paragraph())
+        return "".join(out) + f"<p>§{say(1 if named else 21, 120)}</p>"
+
+    pages = []
+    for k in range(n):
+        named = k % 3 > 0
+        some = lambda share, make: make() if r.random() < share else ""
+        pages.append(
+            "<body>"
+            + some(0.3, lambda: part("div class=masthead|div id=site-header", f"<p>{say(1, 6)}</p>"))
+            + some(0.7, lambda: part("div class=menu|div id=main-nav", f"<ul>{links(2, 9)}</ul>"))
+            + some(0.2, lambda: f"<p><a href=/h>{say(1, 2)}</a> &gt; <a href=/g>{say(1, 2)}</a></p>")
+            + some(0.6, lambda: part("div class=ad|div id=cookie-notice|div class=promo", say(2, 60 if named else 18)))
+            + part("div class=content|div id=article-body", main())
+            + some(0.3, lambda: part("div class=ad|div class=newsletter", f"<p>{say(2, 60)}</p>") if named else "")
+            + some(0.3, lambda: part("div class=comments|div id=replies", f"<h3>{say(1, 3)}</h3>" + "".join(f"<p>{say(2, 80)}</p>" for _ in range(3))) if named else "")
+            + some(0.4, lambda: part("div class=related|div class=sidebar", some(0.5, lambda: f"<h3>{say(1, 3)}</h3>") + f"<ul>{links(2, 7)}</ul>"))
+            + some(0.75, lambda: part("div class=footer|div id=copyright", f"&copy; {say(2, 18)}" + some(0.3, lambda: f" <a href=/l>{say(1, 2)}</a>")))
+            + "</body>"
+        )
+    return pages
 
 
 @lru_cache(maxsize=1)
 def trained() -> Tree:
+    return Tree(*labelled_rows())
+
+
+def labelled_rows(n: int = 1200, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels (1 main text) of the blocks of labelled_pages()."""
     x, y = [], []
-    for page in LABELLED:
+    for page in labelled_pages(n, seed):
         found = blocks(page)
         x.append(rows(found))
         y += [b.text.startswith("§") for b in found]
-    return Tree(np.vstack(x), np.array(y, float))
+    return np.vstack(x), np.array(y, float)
 
 
 def main_text(page: str | None, tree: Tree | None = None) -> str:
@@ -225,11 +285,14 @@ def main_text(page: str | None, tree: Tree | None = None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row of pages (page_id, url, html); null ids and urls and repeated rows are kept.
 
-    Other columns are ignored; an empty table gives an empty result. Whole pages are read, however long.
+    Other columns are ignored; an empty table gives an empty result. Whole pages are read, however long, and elements
+    are tracked at any depth. A null or empty page, or one without main text, has the empty text.
     """
 
+    tree = trained()  # once, on the driver
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([main_text(h.as_py()) for h in b.column(2)], pa.string())], ["page_id", "url", "text"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([main_text(h.as_py(), tree) for h in b.column(2)], pa.string())], ["page_id", "url", "text"])
 
     return only(pages, page_id="long", url="string", html="string").mapInArrow(run, "page_id long, url string, text string")

@@ -1,16 +1,42 @@
 import html
 import re
+from collections import Counter
 
 from cliptide.llm import extraction, queries
 
 BODY = "Plain words that go on for a while, as paragraphs do, until they come to their end. "
 
 
-def test_training_pages_are_learned():
-    tree = extraction.trained()
-    for page in extraction.LABELLED:
-        found = extraction.blocks(page)
-        assert [tree(r) for r in extraction.rows(found).tolist()] == [b.text.startswith("§") for b in found]
+FEATURES = dict(enumerate("words density words_before density_before words_after density_after heading region".split()))
+
+
+def used(node, found=None):
+    found = set() if found is None else found
+    if not isinstance(node, bool):
+        found.add(FEATURES[node[0]])
+        used(node[2], found), used(node[3], found)
+    return found
+
+
+def test_tree_needs_density_and_neighbours():
+    x, y = extraction.labelled_rows()
+    fresh, truth = extraction.labelled_rows(200, 99)
+    right = lambda tree, cols: sum(tree(r) == (t > 0) for r, t in zip(fresh[:, cols].tolist(), truth)) / len(truth)
+    whole = right(extraction.trained(), list(range(8)))
+    assert whole > 0.97 and used(extraction.trained().root) >= {"words", "density", "words_before", "density_before", "words_after", "density_after"}
+    for cols in ([0, 6, 7], [0, 2, 4, 6, 7], [0, 1, 6, 7]):  # without links, without the links of all, without neighbours
+        assert right(extraction.Tree(x[:, cols], y), cols) < whole - 0.005
+
+
+def test_pages_without_names(spark):
+    both = got = want = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        a = Counter(html.unescape(re.sub(r"<[^>]*>", " ", article)).split())
+        bare = re.sub(r"<(/?)(article|nav|footer|header|aside|main)\b[^>]*>", r"<\1div>", re.sub(r'\s(class|id|role)="[^"]*"', "", r.html))
+        b = Counter(extraction.main_text(bare).split())
+        both, got, want = both + (a & b).total(), got + b.total(), want + a.total()
+    assert both / want > 0.95 and both / got > 0.95
 
 
 def test_article_of_every_page(spark):
@@ -50,7 +76,11 @@ def test_markup_details():
     assert extraction.main_text("<title>T</title><article>&copy; text</article>") == "© text"
     assert extraction.main_text(None) == extraction.main_text("") == extraction.main_text("<p></p>  ") == ""
     assert len(extraction.main_text("<article>" + f"<p>{BODY}</p>" * 20_000 + "</article>")) == (len(BODY)) * 20_000 - 1
-    assert extraction.main_text("<div>" * 5000 + "<article><p>deep") in ("deep", "")
+    assert extraction.main_text("<div>" * 5000 + "<article><p>deep") == "deep"
+    assert say("Let <math><mi>x</mi></math> be <object data=o>fallback</object><svg><path d='M0'/></svg> given.") == "Let x be fallback given."
+    assert say("a<script src='x'/>var z=1;</script> b") == "a b"
+    assert say("see <a href=/x/>this</a> now") == "see this now"
+    assert extraction.main_text(f"<div class=ad data-u=/u/><p>{BODY}</p></div><article><p>{BODY}</p></article>") == BODY.strip()
 
 
 def test_rows_are_kept(spark, tmp_path):
