@@ -27,7 +27,8 @@ KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 START = len(ALPHABET)
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What the models are shown: shorter strings can't reach MIN_RATIO.
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 SAMPLE_DOCS = 4096
 MIN_RATIO = 18.0
 MIN_RATIO_PER_CHAR = 0.8
@@ -36,6 +37,26 @@ _CODE = {c: k for k, c in enumerate(ALPHABET)}
 _ORDINARY = "user_name get_value max_length created_at page-header nav-item index.html README utf-8 http https www example com org net content_type base64 sha256 2024-01-01 1234567890 0000000000000000 ---------------- ================ ________________ application/json text/html".split()
 
 
+def merged(spans: list[tuple[int, int, int]]) -> list[list[int]]:
+    """[start, end] of sorted spans, overlapping ones as one."""
+    out: list[list[int]] = []
+    for s, _, e in spans:
+        if out and s < out[-1][1]:
+            out[-1][1] = max(e, out[-1][1])
+        else:
+            out.append([s, e])
+    return out
+
+
+def replaced(text: str, spans: list[list[int]], mark: str) -> str:
+    """text with each of the merged spans replaced by mark."""
+    ends = [0, *[e for _, e in spans]]
+    return mark.join([*[text[a:s] for a, (s, _) in zip(ends, spans)], text[ends[-1] :]])
+
+#: Words that identifiers are made of.
+_PARTS = "abstract account active admin alert answer app array attribute backup batch begin block body border branch buffer button call card category channel chart child clear clock cloud collection column comment common component connection container context cookie count current dashboard database debug delete detail dialog directory document download duration editor email enable entity error example export factory fetch file first form frame generate graph handler header helper history hook image index initial insert integer internal item json label last length library link listener local lock logger manager margin match member menu method module name next normal number observer open order package panel parser path payment permission picture point position prefix price private product project protocol proxy query random reader reference register remote render request resource result review root rule scale schema screen search secure sender server session setup share singleton source start static step store string submit suffix support symbol system target template test theme throttle time token total track transfer trigger unit upload user valid variable version view watch width worker write".split()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base matches, in code points."""
     out = []
@@ -73,8 +94,7 @@ def labelled_sample(docs: DataFrame, bound: int = SAMPLE_DOCS) -> DataFrame:
                     for m in TOKEN.finditer(text[s:e]):
                         for a, c in _pairs(m[0]):
                             counts[1, a, c] += 1
-                for s, _, e in reversed(spans):
-                    text = text[:s] + " " + text[e:]
+                text = replaced(text, merged(spans), " ")
                 for w in re.findall(r"[A-Za-z0-9+/_=-]{4,}", text):
                     for a, c in _pairs(w):
                         counts[0, a, c] += 1
@@ -101,11 +121,15 @@ def train(docs: DataFrame, bound: int = SAMPLE_DOCS) -> np.ndarray:
 
 
 def ordinary_strings(n: int = 1500, seed: int = 11) -> list[str]:
-    """Numbers, dates and numbered names, which are no secrets however random their digits."""
+    """Numbers, dates, numbered names and identifiers in all usual cases, which are no secrets however odd they look."""
     r = random.Random(seed)
     digits = lambda k: "".join(r.choices(string.digits, k=k))
     made = [digits(r.randint(4, 19)) for _ in range(n)]
     made += [f"{r.randint(1970, 2039)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}" for _ in range(n)]
+    for k in range(6 * n):
+        words = r.choices(_PARTS, k=r.randint(2, 5))
+        camel = "".join(w.capitalize() for w in words)
+        made.append((camel, camel[0].lower() + camel[1:], "_".join(words), "-".join(words), "/".join(words), "_".join(words).upper(), "-".join(words).upper())[k % 7])
     return made + [f"{r.choice(_ORDINARY)}{r.choice('_-')}{digits(r.randint(1, 4))}{r.choice('_-')}{r.choice(_ORDINARY)}" for _ in range(n)]
 
 
@@ -117,8 +141,6 @@ class Scanner:
         self.known: dict[str, bool] = {}
 
     def secret(self, token: str) -> bool:
-        if token.isdigit() or not any(c.isdigit() for c in token):
-            return False
         got = self.known.get(token)
         if got is None:
             total, last = 0.0, START
@@ -135,9 +157,11 @@ class Scanner:
         if not text:
             return []
         base = base_spans(text)
-        more = []
+        more, taken, k = [], merged(base), 0
         for m in TOKEN.finditer(text):
-            if self.secret(m[0]) and not any(s < m.end() and m.start() < e for s, _, e in base):
+            while k < len(taken) and taken[k][1] <= m.start():
+                k += 1
+            if (k == len(taken) or taken[k][0] >= m.end()) and self.secret(m[0]):
                 more.append((m.start(), 3, m.end()))
         return sorted(base + more)
 
@@ -148,8 +172,8 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 def find_secrets(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     """doc_id and secrets: array of (kind, start, end), code points, end exclusive, by start and then kind.
 
-    Null and empty texts have none; null ids and repeated rows are kept; other columns are ignored. Spans of the
-    Markov models never overlap those of the patterns.
+    Null and empty texts have none; null ids and repeated rows are kept; other columns are ignored; an empty table
+    gives an empty result. Spans of the Markov models never overlap those of the patterns.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +186,10 @@ def find_secrets(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
 
 
 def redact(docs: DataFrame, ratios: np.ndarray, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every secret of `text` replaced by mark; rows and columns stay, a null text stays null."""
+    """docs with every secret of `text` replaced by mark; rows and columns stay, a null text stays null.
+
+    Overlapping secrets take one mark; an empty table gives an empty result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = Scanner(ratios)
@@ -171,14 +198,8 @@ def redact(docs: DataFrame, ratios: np.ndarray, mark: str = "[SECRET]") -> DataF
             out = []
             for t in b.column(at):
                 text = t.as_py()
-                merged: list[list[int]] = []
-                for s, _, e in scan.spans(text):
-                    if merged and s < merged[-1][1]:
-                        merged[-1][1] = max(e, merged[-1][1])
-                    else:
-                        merged.append([s, e])
-                for s, e in reversed(merged):
-                    text = text[:s] + mark + text[e:]
+                if spans := merged(scan.spans(text)):
+                    text = replaced(text, spans, mark)
                 out.append(text)
             yield b.set_column(at, b.schema.field(at), pa.array(out, b.schema.field(at).type))
 
