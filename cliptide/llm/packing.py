@@ -1,10 +1,12 @@
 """Bulk-synchronous best-fit packing of token pieces into fixed-length sequences.
 
-Pieces of one length are interchangeable, and so are gaps of one size, so the range-sorted order of both sides is kept
-run by run: at most `capacity` runs of pieces per region, however many pieces there are. A region (a hash slice of at
-most REGION_PIECES pieces) sweeps its runs from the longest down, each to its successor among the gaps (the smallest
-that holds it); within a run conflicts are settled by rank, the gaps are updated, and the sweep goes on with the next
-run until nothing is left. Regions sweep side by side; pieces themselves are only ranked and joined to their places.
+Pieces of one length are interchangeable, and so are gaps of one size, so both sides are kept as runs: (length, first
+rank, pieces) and (size, first sequence, sequences). Sizes are cut into half-octave ranges. In a round every run of
+pieces asks for the range of its successor, the smallest gap that holds it; each range is swept by a task of its own,
+from the longest pieces down, where a piece takes the smallest gap left; conflicts go to the longer length and within a
+run to the lower rank. Gaps are updated, pieces left over ask again, and when no gap holds any piece, as many sequences
+are opened as the tokens left need at least, each by one of the longest pieces. Rounds are Spark joins of two bounded
+tables whatever the number of pieces is; pieces themselves are only ranked and joined to their places.
 """
 
 from __future__ import annotations
@@ -24,13 +26,19 @@ from .tokens import packed_ids, vocabulary_path
 
 CAPACITY = 4096
 END_ID = 1
-REGION_PIECES = 2_000_000
 #: Longest run of places that one plan row holds, so that plans unfold evenly.
 PLAN_ROWS = 4096
+#: Kinds of rows of a round: pieces left, gaps, and places given.
+LEFT, GAP, PLACED = 0, 1, 2
+STATE = "kind int, size long, lo long, n long, base long, offset long"
 
 
 def cut(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
-    """Pieces (doc_id, piece, start, length, ids_crc32) of every row; null and empty texts are one piece, the end id."""
+    """Pieces (doc_id, piece, start, length, ids_crc32) of every row of docs (doc_id, text).
+
+    Null and empty texts are one piece, the end id; null ids and repeated rows are kept; other columns are ignored; an
+    empty table has no pieces.
+    """
     path = path or vocabulary_path()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
@@ -48,84 +56,113 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> D
     return only(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def sweep(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """Best-fit decreasing over runs: rows (length, first rank, pieces, first sequence, offset).
+def sweep(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    """One range: its pieces, longest first, into its gaps, smallest that holds them first; rows as STATE.
 
-    A row puts so many pieces of that length, by rank, at that offset of as many sequences in a row.
+    A placed row puts n pieces of that length, from rank lo on, at that offset of n sequences in a row from base on.
     """
-    gaps: list[int] = []  # sizes that have runs, ascending
-    runs: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap size -> (first sequence, sequences)
-    plan: list[tuple[int, int, int, int, int]] = []
-    opened = 0
+    out: list[tuple[int, int, int, int, int, int]] = []
+    sizes: list[int] = []
+    runs: dict[int, list[tuple[int, int]]] = defaultdict(list)
 
     def give(size: int, base: int, n: int) -> None:
         if size and n:
             if not runs[size]:
-                insort(gaps, size)
+                insort(sizes, size)
             runs[size].append((base, n))
 
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        while left:
-            k = bisect_left(gaps, length)
-            if k < len(gaps):
-                size = gaps[k]
-                base, n = runs[size].pop()
-                if not runs[size]:
-                    gaps.pop(k)
-            else:
-                size, base, n = capacity, opened, -(-left // (capacity // length))
-                opened += n
+    gaps = rows[rows["kind"] == GAP].sort_values(["size", "base"])
+    for size, base, n in zip(gaps["size"].tolist(), gaps["base"].tolist(), gaps["n"].tolist()):
+        give(size, base, n)
+    pieces = rows[rows["kind"] == LEFT].sort_values(["size", "lo"], ascending=[False, True])
+    for length, rank, left in zip(pieces["size"].tolist(), pieces["lo"].tolist(), pieces["n"].tolist()):
+        while left and (k := bisect_left(sizes, length)) < len(sizes):
+            size = sizes[k]
+            base, n = runs[size].pop()
+            if not runs[size]:
+                sizes.pop(k)
             each = size // length
             full = min(n, left // each)
             if full:
-                for j in range(each):
-                    plan.append((length, rank + j * full, full, base, capacity - size + j * length))
+                out += [(PLACED, length, rank + j * full, full, base, capacity - size + j * length) for j in range(each)]
                 rank, left = rank + each * full, left - each * full
                 give(size - each * length, base, full)
             if full < n and left:  # fewer than one sequence takes
-                for j in range(left):
-                    plan.append((length, rank + j, 1, base + full, capacity - size + j * length))
+                out += [(PLACED, length, rank + j, 1, base + full, capacity - size + j * length) for j in range(left)]
                 give(size - left * length, base + full, 1)
                 full, rank, left = full + 1, rank + left, 0
             give(size, base + full, n - full)
-    return plan
-
-
-def pack(pieces: DataFrame, capacity: int = CAPACITY, region_pieces: int = REGION_PIECES) -> DataFrame:
+        if left:
+            out.append((LEFT, length, rank, left, 0, 0))
+    out += [(GAP, size, 0, n, base, 0) for size in sizes for base, n in runs[size]]
+    return pd.DataFrame(out, columns=["kind", "size", "lo", "n", "base", "offset"])
+
+
+def places(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Placed rows for lengths (length, n): every piece of every length, by rank, gets a sequence and an offset."""
+    band = F.floor(F.log2("size") * 2).cast("int")
+    null = F.lit(0).cast("long")
+    state = lengths.select(F.lit(LEFT).alias("kind"), F.col("length").cast("long").alias("size"), null.alias("lo"), F.col("n").cast("long").alias("n"), null.alias("base"), null.alias("offset"))
+    given, opened = [], 0
+    while True:
+        facts = state.groupBy("kind", band.alias("band")).agg(F.min("size").alias("low"), F.max("size").alias("top"), F.sum("n").alias("n"), F.sum(F.col("size") * F.col("n")).alias("tokens")).collect()  # two kinds by 2 * log2(capacity) ranges
+        left, tops = {f.band: f for f in facts if f.kind == LEFT}, {f.band: f.top for f in facts if f.kind == GAP}
+        if not left:
+            break
+        after = {b: min((g for g in tops if g > b), default=None) for b in left}
+        if any(f.low <= tops.get(b, 0) or after[b] is not None for b, f in left.items()):
+            goal = F.lit(None).cast("int")
+            for b in left:
+                goal = F.when((band == b) & (F.col("size") <= tops.get(b, 0)), b).when(band == b, F.lit(after[b]).cast("int")).otherwise(goal)
+            asked = state.withColumn("goal", F.when(F.col("kind") == GAP, band).otherwise(goal))
+            swept = asked.where("goal is not null").groupBy("goal").applyInPandas(lambda pdf: sweep(pdf, capacity), STATE)
+            state = swept.unionByName(asked.where("goal is null").drop("goal"))
+        else:  # no gap holds any piece: open sequences by the longest pieces
+            need = -(-sum(f.tokens for f in left.values()) // capacity)
+            longer = F.lit(0)
+            for b in left:
+                longer = F.when(band == b, sum(f.n for c, f in left.items() if c > b)).otherwise(longer)
+            before = longer + F.sum("n").over(Window.partitionBy(band).orderBy(F.desc("size"))) - F.col("n")
+            ranked = state.where(F.col("kind") == LEFT).withColumn("before", before)
+            ranked = ranked.withColumn("took", F.greatest(F.lit(0), F.least(F.col("n"), F.lit(need) - F.col("before"))))
+            base = F.lit(opened) + F.col("before")
+            row = lambda kind, size, lo, n, base, offset: F.struct(F.lit(kind).alias("kind"), size.cast("long").alias("size"), lo.cast("long").alias("lo"), n.cast("long").alias("n"), base.cast("long").alias("base"), offset.cast("long").alias("offset"))
+            size, lo, took = F.col("size"), F.col("lo"), F.col("took")
+            cut_ = F.explode(F.array(row(PLACED, size, lo, took, base, null), row(GAP, F.lit(capacity) - size, null, took, base, null), row(LEFT, size, lo + took, F.col("n") - took, null, null)))
+            state = state.where(F.col("kind") == GAP).unionByName(ranked.select(cut_.alias("r")).select("r.*").where("n > 0 and size > 0"))
+            opened += need
+        state = staged(state, "round")
+        given.append(state.where(F.col("kind") == PLACED))
+        state = state.where(F.col("kind") != PLACED)
+    out = state.where("false") if not given else given[0]
+    for rows in given[1:]:
+        out = out.unionByName(rows)
+    return out.select(F.col("size").alias("length"), "lo", "n", "base", "offset")
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces with sequence_id and offset (long): no two pieces overlap, every sequence is gapless from 0.
 
-    pieces needs doc_id, piece and length (1 to capacity); it is read several times, so pass a staged table. Repeated
-    rows are packed each by itself; an empty table gives an empty result. Null ids are kept.
+    pieces needs length (1 to capacity). Repeated rows are packed each by itself; null ids are kept; an empty table
+    gives an empty result.
     """
-    spark = pieces.sparkSession
-    lengths = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
+    rows = staged(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")  # written, so a row keeps its number
+    lengths = rows.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(lengths, "length", "n")
-    total = pieces.count()
-    regions = max(1, -(-total // region_pieces))
-    region = F.pmod(F.xxhash64("doc_id", "piece", F.lit(7)), F.lit(regions)).cast("int")
-    dealt = pieces.withColumns({"region": region, "_salt": F.when(F.col("length").isin(hot), salt(SALTS, "doc_id", "piece")).otherwise(F.lit(0))})
-    runs = staged(dealt.groupBy("region", "length", "_salt").agg(F.count(F.lit(1)).alias("n")), "runs")
-    before = runs.withColumn("_before", F.sum("n").over(Window.partitionBy("region", "length").orderBy("_salt")) - F.col("n")).drop("n")
-    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("region", "length", "_salt").orderBy("doc_id", "piece")) - 1)
-    ranked = ranked.join(before.hint("merge"), ["region", "length", "_salt"]).withColumn("_rank", (F.col("_rank") + F.col("_before")).cast("long")).drop("_salt", "_before")
-
-    def plans(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for r, lens, ns in zip(pdf["region"], pdf["lengths"], pdf["ns"]):
-            for length, rank, n, base, offset in sweep(dict(zip(map(int, lens), map(int, ns))), capacity):
-                rows += [(r, length, rank + a, min(PLAN_ROWS, n - a), (int(r) << 32) + base + a, offset) for a in range(0, n, PLAN_ROWS)]
-        return pd.DataFrame(rows, columns=["region", "length", "lo", "n", "base", "offset"])
-
-    by_length = runs.groupBy("region", "length").agg(F.sum("n").alias("n"))
-    by_region = by_length.groupBy("region").agg(F.collect_list(F.struct("length", "n")).alias("h")).select("region", F.col("h.length").alias("lengths"), F.col("h.n").alias("ns"))
-    plan = by_region.mapInPandas(lambda it: map(plans, it), "region int, length long, lo long, n long, base long, offset long")
-    places = staged(plan, "plan").repartition(F.col("region"), F.col("length"), F.col("lo")).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    dealt = rows.withColumn("_salt", F.when(F.col("length").isin(hot), salt(SALTS, "_row")).otherwise(F.lit(0)))
+    runs = staged(dealt.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("n")), "runs")
+    before = runs.withColumn("_before", F.sum("n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("n")).drop("n")
+    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy("_row")) - 1)
+    ranked = ranked.join(before.hint("merge"), ["length", "_salt"]).withColumn("_rank", (F.col("_rank") + F.col("_before")).cast("long")).drop("_salt", "_before")
+    found = places(runs.groupBy("length").agg(F.sum("n").alias("n")), capacity)
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(PLAN_ROWS).cast("long")))
+    found = found.withColumn("a", part).select("length", (F.col("lo") + F.col("a")).alias("lo"), F.least(F.col("n") - F.col("a"), F.lit(PLAN_ROWS)).alias("n"), (F.col("base") + F.col("a")).alias("base"), "offset")
     # the places unfold to one row a piece, which Spark's size estimate of the plan doesn't show: never broadcast them
-    places = places.select("region", "length", (F.col("lo") + F.col("k")).alias("_rank"), (F.col("base") + F.col("k")).alias("sequence_id"), "offset")
-    return ranked.join(places.hint("merge"), ["region", "length", "_rank"]).select(*pieces.columns, "sequence_id", "offset")
+    unfolded = found.repartition("length", "lo").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    unfolded = unfolded.select("length", (F.col("lo") + F.col("k")).alias("_rank"), (F.col("base") + F.col("k")).alias("sequence_id"), "offset")
+    return ranked.join(unfolded.hint("merge"), ["length", "_rank"]).select(*[F.col(f"`{c}`") for c in pieces.columns], "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
-    """Cuts and packs every row of docs (doc_id, text); other columns are ignored."""
-    return pack(staged(cut(docs, capacity, path), "pieces"), capacity)
+    """Cuts and packs every row of docs (doc_id, text), as cut() and pack() say; other columns are ignored."""
+    return pack(cut(docs, capacity, path), capacity)

@@ -3,6 +3,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import pandas as pd
 from tokenizers import Tokenizer
 
 from cliptide.llm import packing, queries
@@ -59,32 +60,51 @@ def plain_bfd(lengths, capacity):
     return len(gaps)
 
 
-def test_sweep_needs_no_more_sequences_than_best_fit_decreasing():
+def test_rounds_against_best_fit_decreasing(spark):
     r = random.Random(2)
-    for capacity in (10, 64, 500):
-        for _ in range(20):
-            lengths = [min(capacity, int(r.paretovariate(0.7)) if r.random() < 0.7 else r.randint(1, capacity)) for _ in range(r.randrange(1, 300))]
-            plan = packing.sweep(dict(Counter(lengths)), capacity)
-            ranks, fill = defaultdict(list), defaultdict(list)
-            for length, rank, n, base, offset in plan:
-                ranks[length] += range(rank, rank + n)
-                for k in range(n):
-                    fill[base + k].append((offset, length))
-            assert all(sorted(ranks[x]) == list(range(n)) for x, n in Counter(lengths).items())
-            for parts in fill.values():
-                at = 0
-                for offset, length in sorted(parts):
-                    assert offset == at
-                    at += length
-                assert at <= capacity
-            assert len(fill) <= plain_bfd(lengths, capacity)
-
-
-def test_regions_and_hot_lengths(spark):
-    rows = [(i, 0, 700 if i % 3 else 1 + i % 900) for i in range(3000)]
-    df = spark.createDataFrame(rows, "doc_id long, piece int, length long")
-    got = packing.pack(df, region_pieces=1000).collect()
-    assert Counter((r.doc_id, r.length) for r in got) == Counter((a, c) for a, _, c in rows)
+    cases = [
+        (64, [min(64, int(r.paretovariate(0.7))) for _ in range(1500)]),
+        (500, [r.randint(1, 500) for _ in range(1200)]),
+        (4096, [min(4096, 1 + int(r.lognormvariate(5, 1.3))) for _ in range(2500)]),
+        (100, [r.choice((34, 33, 50, 49, 17)) for _ in range(900)]),
+        (100, [35] * 700 + [r.randint(1, 100) for _ in range(400)]),
+        (7, [7, 1]),
+    ]
+    for capacity, lengths in cases:
+        counts = Counter(lengths)
+        plan = packing.places(spark.createDataFrame(sorted(counts.items()), "length long, n long"), capacity).collect()
+        ranks, fill = defaultdict(list), defaultdict(list)
+        for p in plan:
+            ranks[p.length] += range(p.lo, p.lo + p.n)
+            for k in range(p.n):
+                fill[p.base + k].append((p.offset, p.length))
+        assert all(sorted(ranks[x]) == list(range(n)) for x, n in counts.items())
+        for parts in fill.values():
+            at = 0
+            for offset, length in sorted(parts):
+                assert offset == at
+                at += length
+            assert at <= capacity
+        best = plain_bfd(lengths, capacity)
+        assert len(fill) <= best + max(1, 3 * best // 100), (capacity, len(fill), best)
+
+
+def test_one_range_is_plain_best_fit():
+    gaps = [(10, 0, 3), (12, 5, 2), (15, 9, 1)]
+    rows = [(packing.GAP, size, 0, n, base, 0) for size, base, n in gaps] + [(packing.LEFT, 11, 0, 2, 0, 0), (packing.LEFT, 5, 4, 7, 0, 0)]
+    out = packing.sweep(pd.DataFrame(rows, columns=["kind", "size", "lo", "n", "base", "offset"]), 20)
+    got = sorted(tuple(map(int, x)) for x in out[out["kind"] == packing.PLACED].itertuples(index=False))
+    # both 11s go to the 12s; the 5s fill the 10s two by two, then the 15
+    assert [x for x in got if x[1] == 11] == [(packing.PLACED, 11, 0, 2, 5, 8)]
+    assert sum(x[3] for x in got if x[1] == 5) == 7 and {b for x in got if x[1] == 5 for b in range(x[4], x[4] + x[3])} == {0, 1, 2, 9}
+    assert not (out["kind"] == packing.LEFT).any()
+
+
+def test_hot_lengths_and_rows_without_ids(spark):
+    rows = [(None if i % 3 else i, 0, 700 if i % 3 else 1 + i % 900, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, length long, `a.b` int")
+    got = packing.pack(df).collect()
+    assert Counter((r.doc_id, r.length, r["a.b"]) for r in got) == Counter((a, c, d) for a, _, c, d in rows)
     check_places(got)
 
 
