@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +45,29 @@ def staged(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _made.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+#: Paths of the staged tables, in order, as scratch() needs them.
+_made: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Deletes the tables staged inside, but those put into the list it gives: they must not read the others any more."""
+    at, kept = len(_made), []
+    try:
+        yield kept
+    finally:
+        stay = {df.staged_path for df in kept}
+        for path in _made[at:]:
+            if path not in stay:
+                p = spark._jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])  # each table has a folder of its own
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _made[at:] = [p for p in _made[at:] if p in stay]
 
 
 def salt(n: int, *cols: str | Column) -> Column:
@@ -68,4 +92,9 @@ def spread_join(big: DataFrame, small: DataFrame, key: str, hot: list, by: Colum
 
 def only(df: DataFrame, **types: str) -> DataFrame:
     """Just the named columns, by their exact names, cast; extra and clashing columns are left behind."""
-    return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()])
+    return df.select(*[named(c).cast(t).alias(c) for c, t in types.items()])
+
+
+def named(column: str) -> Column:
+    """The column of exactly that name, dots and back-ticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")

@@ -113,26 +113,26 @@ def fit(members: DataFrame, targets: np.ndarray, least: float = 0.0, most: float
     return steps
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], total: float | None = None, least: float = 0.0, most: float = 100.0, keep_all: bool = False) -> DataFrame:
-    """doc_id, tokens, p (posteriors in the order of weights) and rate of every row of docs (doc_id, text).
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], total: float | None = None, least: float = 0.0, most: float = 100.0, keep_all: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, tokens, p (posteriors in the order of weights) and rate of every row of docs (doc_id, text), and its columns `carry`.
 
     labelled: doc_id, text, domain. Targets are weights / their sum, times total (the table's tokens by default). With
-    keep_all no document is thinned: rates start at 1 and the total is the least that lets every domain keep its tokens. A null or empty text has no tokens, the prior as posteriors and the starting
-    rate; null ids and repeated rows are kept; other columns are ignored. Where the targets are out of reach the
-    nearest totals (in the Gram metric) are met; an empty table gives an empty result.
+    keep_all no document is thinned: rates start at 1 and the total is the least that lets every domain keep its tokens.
+    A null or empty text has no tokens, the prior as posteriors and the starting rate; null ids and repeated rows are
+    kept; other columns are ignored. Where the targets are out of reach the nearest totals (in the Gram metric) are met;
+    an empty table gives an empty result. Rows are never joined or shuffled.
     """
     domains = list(weights)
     model = train(labelled, domains)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    members = staged(posteriors(rows, model).select("doc_id", "tokens", "p"), "members")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    members = staged(posteriors(rows, model).select("doc_id", "tokens", "p", *carry), "members")
     share = np.array([weights[d] for d in domains], float)
     share /= share.sum()
     have = np.array([v or 0.0 for v in members.agg(*[F.sum(F.col("tokens") * F.get("p", c)) for c in range(len(domains))]).first()])
     if keep_all:
         least, total = max(least, 1.0), float((have / share).max())
     targets = share * (have.sum() if total is None else total)
-    steps = fit(members, targets, least, most)
-    return members.withColumn("rate", rate(steps, least, most))
+    return members.withColumn("rate", rate(fit(members, targets, least, most), least, most))
 
 
 def copies(rate_column: Column, *by: str) -> Column:

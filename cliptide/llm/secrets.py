@@ -191,10 +191,12 @@ def redact(docs: DataFrame, ratios: np.ndarray, mark: str = "[SECRET]") -> DataF
     Overlapping secrets take one mark; an empty table gives an empty result.
     """
 
+    at = docs.columns.index("text")
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # names with dots don't pass through mapInArrow
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = Scanner(ratios)
         for b in batches:
-            at = b.schema.get_field_index("text")
             out = []
             for t in b.column(at):
                 text = t.as_py()
@@ -203,7 +205,7 @@ def redact(docs: DataFrame, ratios: np.ndarray, mark: str = "[SECRET]") -> DataF
                 out.append(text)
             yield b.set_column(at, b.schema.field(at), pa.array(out, b.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def span_text(spans: Column) -> Column:

@@ -1,10 +1,14 @@
 """SimHash fingerprints and a binary-trie self-join over them.
 
 The trie of all distinct fingerprints is walked from the root by pairs of nodes at once: a pair carries the bits in
-which its two prefixes differ, expands to its children's pairs, and is pruned as soon as it exceeds the error budget.
-With a budget of k errors over k + 1 pieces of the bits one piece has no error, so the walk is done on k + 1 rotations
-of the bits, each starting with an exact piece; a link is kept by the first rotation whose piece is exact. No pair of
-documents within a group of copies is ever made: the trie holds distinct fingerprints.
+which its two prefixes differ, expands to its children's pairs, and is pruned as soon as it exceeds the error budget of
+its depth. Fingerprints are rotated, one trie a rotation, so that the budget of the leading bits may be smaller than
+that of all: of two errors in 64 bits at most one lies in the first half or at most one in the second, so two rotations
+with one error allowed in the first half lose no link at two errors. A pair of nodes with one leaf each is settled at
+once. No pair of documents within a group of copies is ever made: the trie holds distinct fingerprints.
+
+near_duplicates() links fingerprints at a Hamming distance. near_copies() walks the same tries with a wider budget over
+sketches of five-word shingles, several fingerprint words a text, for candidates, and compares their shingles exactly.
 """
 
 from __future__ import annotations
@@ -17,34 +21,46 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hot_keys, only, spread_join, staged
+from .common import hot_keys, only, scratch, spread_join, staged
 
 BITS = 64
-STEP = 11
-HOPS = 3
+#: Errors allowed within the first so many bits of a rotated fingerprint: for two errors, and for candidates of copies.
+TWO_ERRORS = {6: 1, 12: 1, 16: 1, 20: 1, 24: 1, 32: 1, 40: 2, 48: 2, 56: 2, 64: 2}
+CANDIDATES = {6: 1, 12: 1, 16: 1, 20: 2, 24: 3, 32: 5, 40: 7, 48: 9, 56: 11, 64: 13}
+#: A near copy: five words a shingle, Jaccard similarity of four fifths; its sketch has WORDS words, each turned four ways.
+SHINGLE, LEAST, WORDS, TURNS = 5, (4, 5), 3, (0, 16, 32, 48)
+#: Below this depth most nodes have one leaf, and leaves without a neighbour are dropped.
+SPARSE = 20
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """Unsigned 64-bit SimHash of the whole text; 0 for a text without words."""
+def digests(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of the shingles of the whole text in order, repeats included; a shorter text is one shingle."""
     data = (text or "").encode("utf-8", "surrogatepass").lower()  # bytes.lower() touches A-Z alone
     words = data.split()  # bytes.split() separates at \t \n \v \f \r and space alone
-    if not words:
-        return 0
+    digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), 42)
+        return np.array([digest(b" ".join(words), 42)] if words else [], np.uint64)
     joined = b" ".join(words)
     ends, at = [], -1
     for w in map(len, words):
         at += w + 1
         ends.append(at)
     begins = [0, *[e + 1 for e in ends]]
-    digest = xxhash.xxh64_intdigest
-    votes, n = np.zeros(BITS, np.int64), len(words) - shingle + 1
-    for k in range(0, n, 65536):  # bounded memory for very long texts
-        part = [digest(joined[b:e], 42) for b, e in zip(begins[k : min(n, k + 65536)], ends[k + shingle - 1 :])]
-        h = np.array(part, np.uint64).astype(">u8").view(np.uint8).reshape(len(part), 8)
-        votes += np.unpackbits(h, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > n).tobytes(), "big")
+    return np.fromiter((digest(joined[b:e], 42) for b, e in zip(begins, ends[shingle - 1 :])), np.uint64, len(words) - shingle + 1)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
+    votes = np.zeros(BITS, np.int64)
+    for k in range(0, len(hashes), 65536):  # bounded memory for very long texts
+        part = hashes[k : k + 65536].astype(">u8").view(np.uint8).reshape(-1, 8)
+        votes += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * votes > len(hashes)).tobytes(), "big")
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """Unsigned 64-bit SimHash of the whole text; 0 for a text without words."""
+    return majority(digests(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -58,89 +74,217 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return only(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, fp long")
 
 
-def trie_self_join(prints: DataFrame, budget: int = 2, step: int = STEP) -> DataFrame:
-    """Pairs (a, b, errors) of distinct fp of `prints` that differ in at most `budget` bits, each pair once, a != b.
+def turned(column, bits: int):
+    return F.shiftleft(column, bits).bitwiseOR(F.shiftrightunsigned(column, BITS - bits)) if bits else F.col(column)
+
 
-    All rotations are walked together: r names the rotation, and a node is (r, prefix).
+def trie_self_join(leaves: DataFrame, allowed: dict[int, int]) -> DataFrame:
+    """Pairs (a, b), a < b, of ids whose codes stay within `allowed` in some trie; leaves: r (the trie), code, id.
+
+    allowed: depth -> errors in that many leading bits. Where several ids share a code, the least of them stands for
+    all and is paired with each. The result is staged.
     """
-    width = BITS // (budget + 1)
-    turned = lambda c, r: F.shiftleft(c, r).bitwiseOR(F.shiftrightunsigned(c, BITS - r)) if r else F.col(c)
-    turns = [k * width for k in range(budget + 1)]
-    leaves = prints.select(F.explode(F.array(*[F.struct(F.lit(k).alias("r"), turned("fp", t).alias("fp")) for k, t in enumerate(turns)])).alias("x")).select("x.*")
+    spark = leaves.sparkSession
 
     def prefix(depth: int):
-        return F.shiftrightunsigned("fp", BITS - depth) if depth < BITS else F.col("fp")
-
-    depth = width
-    roots = leaves.groupBy("r", prefix(depth).alias("a")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = roots.select("r", "a", F.col("a").alias("b"), F.lit(0).alias("errors"))
-    while depth < BITS:
-        deeper = min(BITS, depth + step)
-        dealt = leaves.select("r", prefix(depth).alias("up"), prefix(deeper).alias("p")).repartition("r", "up")
-        nodes = dealt.groupBy("r", "up", "p").agg(F.count(F.lit(1)).alias("n"))  # dealt by parent: no further shuffle
-        left = nodes.select(F.col("r").alias("ra"), F.col("up").alias("ua"), F.col("p").alias("pa"), F.col("n").alias("na"))
-        right = nodes.select(F.col("r").alias("rb"), F.col("up").alias("ub"), F.col("p").alias("pb"))
-        new_bits = F.lit((1 << (deeper - depth)) - 1).cast("long")
-        errors = F.col("errors") + F.bit_count(F.col("pa").bitwiseXOR(F.col("pb")).bitwiseAND(new_bits))
-        # a node paired with itself gives each pair of children once; alone above one leaf it can end nowhere
-        fresh = (F.col("a") != F.col("b")) | (F.col("pa") < F.col("pb")) | ((F.col("pa") == F.col("pb")) & (F.col("na") > 1))
-        pairs = pairs.join(left, (F.col("r") == F.col("ra")) & (F.col("a") == F.col("ua")))
-        pairs = pairs.join(right, (F.col("r") == F.col("rb")) & (F.col("b") == F.col("ub")) & fresh & (errors <= budget))
-        pairs = pairs.select("r", F.col("pa").alias("a"), F.col("pb").alias("b"), errors.cast("int").alias("errors"))
-        depth = deeper
-    back = lambda c: F.element_at(F.array(*[turned(c, (BITS - t) % BITS) for t in turns]), F.col("r") + 1)
-    pairs = pairs.where("a != b").select("r", back("a").alias("a"), back("b").alias("b"), "errors")
-    differ = F.col("a").bitwiseXOR(F.col("b"))
-    for k, t in enumerate(turns[:-1]):  # a link whose k-th piece is exact was found by rotation k
-        piece = F.shiftrightunsigned(differ, BITS - t - width).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-        pairs = pairs.where((F.col("r") <= k) | (piece != 0))
-    return pairs.select("a", "b", "errors")
-
-
-#: So few links are walked in one task; the bound is checked, and more are shuffled.
-FEW_LINKS = 100_000
-
-
-def components(reps: DataFrame, links: DataFrame) -> DataFrame:
-    """fp and the smallest label reachable over links (a, b), for the fp that have links; reps: fp, label.
-
-    Minimum labels travel HOPS links a round until none changes. A fingerprint has at most C(64, 1) + C(64, 2) links,
-    so no task gathers an unbounded group; rounds grow with a component's radius in links.
+        return F.lit(0).cast("long") if depth == 0 else F.col("code") if depth == BITS else F.shiftrightunsigned("code", BITS - depth)
+
+    def counted(depth: int, *by):
+        one = F.min(F.struct("code", "id")).alias("one")
+        return leaves.groupBy("r", *by, prefix(depth).alias("p")).agg(F.count(F.lit(1)).alias("n"), one)
+
+    depths, budget = sorted(allowed), max(allowed.values())
+    id_pair = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
+    with scratch(spark) as kept:
+        leaves = staged(leaves.select("r", "code", "id").distinct(), "leaves")
+        root = counted(0).where("n > 1")
+        pairs = root.select("r", F.col("p").alias("a"), F.col("n").alias("na"), F.col("one").alias("x"), F.col("p").alias("b"), F.col("n").alias("nb"), F.col("one").alias("y"), F.lit(0).alias("errors"))
+        found = []
+        for up, depth in zip([0, *depths], depths):
+            if up >= SPARSE:
+                many = leaves.groupBy("r", prefix(up).alias("p")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                leaves = staged(leaves.withColumn("p", prefix(up)).join(many, ["r", "p"], "left_semi").drop("p"), "leaves")
+            node = F.struct("p", "n", "one")
+            kids = counted(depth, prefix(up).alias("up")).groupBy("r", "up").agg(F.collect_list(node).alias("kids"), F.sum("n").alias("n")).where("n > 1")  # at most 2 ** (depth - up) a node
+            side = lambda name: kids.select(F.col("r").alias(f"r{name}"), F.col("up").alias(f"u{name}"), F.col("kids").alias(f"k{name}"))  # noqa: B023, E731
+            alone = lambda x: F.array(F.struct(F.shiftrightunsigned(f"{x}.code", BITS - depth).alias("p") if depth < BITS else F.col(f"{x}.code").alias("p"), F.lit(1).cast("long").alias("n"), F.col(x).alias("one")))  # noqa: B023, E731
+            wide = pairs.join(side("a"), (F.col("r") == F.col("ra")) & (F.col("a") == F.col("ua")), "left")
+            wide = wide.join(side("b"), (F.col("r") == F.col("rb")) & (F.col("b") == F.col("ub")), "left")
+            wide = wide.withColumns({"ka": F.coalesce("ka", alone("x")), "kb": F.coalesce("kb", alone("y"))})
+            e = f"errors + bit_count((s.p ^ t.p) & {(1 << (depth - up)) - 1}L)"
+            # a node paired with itself gives each pair of children once; a child with itself where it has two leaves
+            fresh = "(a != b or s.p < t.p or (s.p = t.p and s.n > 1))"
+            both = f"explode(flatten(transform(ka, s -> transform(filter(kb, t -> {fresh} and {e} <= {allowed[depth]}), t -> struct(s.p as a, s.n as na, s.one as x, t.p as b, t.n as nb, t.one as y, {e} as errors))))) as m"
+            level = staged(wide.select("r", F.expr(both)).select("r", "m.*"), "pairs")
+            last = F.lit(depth == BITS)
+            settled = (F.col("a") != F.col("b")) & (((F.col("na") == 1) & (F.col("nb") == 1)) | last)
+            found.append(level.where(settled & (F.bit_count(F.col("x.code").bitwiseXOR(F.col("y.code"))) <= budget)).select(*id_pair))
+            pairs = level.where(~((F.col("na") == 1) & (F.col("nb") == 1)))
+            if not pairs.limit(1).count():
+                break
+        alike = counted(BITS).where("n > 1").select("r", F.col("p").alias("code"), F.col("one.id").alias("a"))
+        alike = leaves.join(alike, ["r", "code"]).where("id != a").select("a", F.col("id").alias("b"))
+        for rows in found:
+            alike = alike.unionByName(rows)
+        out = staged(alike.distinct(), "found")
+        kept.append(out)
+    return out
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node and root of the nodes of links (a, b): root is the least node that links reach.
+
+    Large-star and small-star rounds in turn until no edge changes; their number grows with the logarithm of a
+    component's size, not with its radius. The result is staged.
     """
-    both = staged(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    state = staged(both.select(F.col("a").alias("fp")).distinct().join(reps, "fp").select("fp", "label"), "labels")
-    few = both.count() <= FEW_LINKS
-    if few:  # one partition each: the joins below need no exchange
-        both = both.coalesce(1)
-
-    def spread(s: DataFrame) -> DataFrame:
-        heard = both.join(s.select(F.col("fp").alias("a"), "label"), "a").select(F.col("b").alias("fp"), "label")
-        heard = heard.unionByName(s.select("fp", "label"))
-        return (heard.coalesce(1) if few else heard).groupBy("fp").agg(F.min("label").alias("label"))
-
-    while True:
-        after = state = state.coalesce(1) if few else state
-        for _ in range(HOPS):
-            after = spread(after)
-        after = after.join(state.select("fp", F.col("label").alias("before")), "fp")
-        state = staged(after.select("fp", "label", (~F.col("label").eqNullSafe(F.col("before"))).alias("changed")), "labels")
-        if not state.where("changed").limit(1).count():
-            return state.select("fp", "label")
-
-
-def near_duplicates(docs: DataFrame, budget: int = 2, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (signed long) and component_id of every row of docs (doc_id, text).
+    spark = links.sparkSession
+    previous = None
+    with scratch(spark) as kept:
+        edges = staged(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+        while True:
+            state = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
+            if state == previous:
+                break
+            previous = state
+            both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+            large = staged(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+            edges = staged(small.distinct(), "edges")
+        roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        out = staged(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "components")
+        kept.append(out)
+    return out
+
+
+def labelled(reps: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """key and the smallest label of the component of every row of reps (key, label); links name keys."""
+    spark = reps.sparkSession
+    if not links.limit(1).count():
+        return reps.select(key, "label")
+    with scratch(spark) as kept:
+        member = components(links)
+        lowest = member.join(reps.select(F.col(key).alias("node"), "label"), "node").groupBy("root").agg(F.min("label").alias("lowest"))
+        moved = member.join(lowest, "root").select(F.col("node").alias(key), "lowest")
+        out = staged(reps.join(moved, key, "left").select(key, F.coalesce("lowest", "label").alias("label")), "labels")
+        kept.append(out)
+    return out
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """doc_id, fp (signed long) and component_id of every row of docs (doc_id, text): fingerprints link at two errors.
 
     component_id is the smallest doc_id among all documents reachable over links, itself included. Null ids keep their
     rows and take the component of their fingerprint; repeated rows and equal texts share a fingerprint and so a
     component. An empty table gives an empty result. Other columns are ignored.
     """
-    prints = staged(fingerprints(docs, shingle), "prints")
+    prints = staged(fingerprints(docs, shingle).withColumn("row", F.monotonically_increasing_id()), "prints")
     reps = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("n")), "reps")
-    links = staged(trie_self_join(reps, budget), "pairs")
+    with scratch(docs.sparkSession) as kept:
+        tries = F.explode(F.array(*[F.struct(F.lit(k).alias("r"), turned("fp", t).alias("code"), F.col("fp").alias("id")) for k, t in enumerate((0, BITS // 2))]))
+        links = trie_self_join(reps.select(tries.alias("x")).select("x.*"), TWO_ERRORS)
+        found = labelled(reps, links, "fp")
+        if hasattr(found, "staged_path"):
+            kept.append(found)
     hot = hot_keys(reps, "fp", "n")
-    found = reps.select("fp", "label")
-    if links.limit(1).count():
-        moved = components(found, links).withColumnRenamed("label", "lowest")
-        found = found.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "label").alias("label"))
-    return spread_join(prints, found, "fp", hot, F.col("doc_id")).select("doc_id", "fp", F.col("label").alias("component_id"))
+    return spread_join(prints, found, "fp", hot, F.col("row")).select("doc_id", "fp", F.col("label").alias("component_id"))
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def sketch(shingles: np.ndarray, words: int = WORDS) -> list[int]:
+    """`words` fingerprints of a set of hashes, each by a mixing of its own."""
+    out = []
+    for k in range(words):
+        out.append(majority(shingles))
+        shingles = shingles * _MIX + np.uint64(k)
+        shingles = (shingles ^ (shingles >> np.uint64(32))) * _MIX
+        shingles ^= shingles >> np.uint64(29)
+    return out
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """row, doc_id, id (names the set of shingles), n (its size) and words of every row of docs (row, doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, sizes, words = [], [], []
+            for t in b.column(2):
+                found = np.unique(digests(t.as_py(), SHINGLE))
+                ids.append(xxhash.xxh64_intdigest(found.tobytes(), 42) - 2**63)
+                sizes.append(len(found))
+                words.append(np.array(sketch(found), np.uint64).view(np.int64).tolist() if len(found) else [])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(words, pa.list_(pa.int64()))], ["row", "doc_id", "id", "n", "words"])
+
+    return docs.mapInArrow(run, "row long, doc_id long, id long, n long, words array<long>")
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two shingle sets reaches the threshold, in whole numbers."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return LEAST[1] * both >= LEAST[0] * (len(a) + len(b) - both)
+
+
+def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts (id, text) are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}  # a few sets, as a node may be in many pairs
+
+        def known(key: int, text: pa.Scalar) -> np.ndarray:
+            if key not in held:
+                if len(held) > 64:
+                    held.pop(next(iter(held)))
+                held[key] = np.unique(digests(text.as_py(), SHINGLE))
+            return held[key]
+
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3))
+            good = [similar(known(a, s), known(b, t)) for a, b, s, t in rows]
+            yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
+
+    both = pairs
+    for key, other, name in (("a", "b", "s"), ("b", "a", "t")):
+        hot = hot_keys(pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key, "n")
+        both = spread_join(both, texts.select(F.col("id").alias(key), F.col("text").alias(name)), key, hot, F.col(other), "inner")
+    return both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """row, doc_id and component of every row of docs (row, doc_id, text): the lowest row that links of copies reach.
+
+    Texts are linked where their sets of five-word shingles have a Jaccard similarity of 0.8 or more; candidates come
+    from the tries of their sketches, and no candidate is decided by an estimate. row tells the rows of docs apart.
+    component has (no_id, doc_id, row): the smallest doc_id leads, a null id comes last, and equal ids are ordered by
+    row. Texts without words are copies of each other. Repeated rows are copies; an empty table gives an empty result;
+    other columns are ignored.
+    """
+    docs = only(docs, row="long", doc_id="long", text="string")
+    prints = staged(sketches(docs), "sketches")
+    with scratch(docs.sparkSession) as kept:
+        label = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("label")
+        reps = staged(prints.groupBy("id").agg(label, F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("words").alias("words")), "sets")
+        word = reps.select("id", F.posexplode("words").alias("w", "word"))
+        tries = F.explode(F.array(*[F.struct((F.col("w") * len(TURNS) + k).alias("r"), turned("word", t).alias("code"), "id") for k, t in enumerate(TURNS)]))
+        pairs = trie_self_join(word.select(tries.alias("x")).select("x.*"), CANDIDATES)
+        sizes = reps.select("id", "n")
+        pairs = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
+        pairs = staged(pairs.where(F.lit(LEAST[1]) * F.least("na", "nb") >= F.lit(LEAST[0]) * F.greatest("na", "nb")).select("a", "b"), "candidates")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        chosen = reps.join(wanted, "id", "left_semi").select(F.col("label.row").alias("row"), "id")
+        texts = staged(docs.join(chosen, "row").select("id", "text"), "texts")
+        # a node's least candidate first: that joins a group of copies by few comparisons; then pairs still apart
+        firsts = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        links = staged(checked(firsts, texts), "links")
+        state = labelled(reps, links, "id")
+        ends = state.select("id", F.col("label.row").alias("at"))
+        apart = pairs.join(ends.select(F.col("id").alias("a"), F.col("at").alias("x")), "a").join(ends.select(F.col("id").alias("b"), F.col("at").alias("y")), "b").where("x != y").select("a", "b")
+        apart = staged(apart.join(firsts, ["a", "b"], "left_anti"), "apart")
+        if apart.limit(1).count():
+            state = labelled(reps, links.unionByName(checked(apart, texts)), "id")
+        out = staged(state, "states")
+        many = hot_keys(reps, "id", "rows")
+        kept.append(out)
+    return spread_join(prints.select("row", "doc_id", "id"), out, "id", many, F.col("row")).select("row", "doc_id", F.col("label").alias("component"))

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from cliptide.llm import nearcopies
+from cliptide.llm import simhash
 
 
 def plain_shingles(text):
@@ -44,7 +44,7 @@ def copies(n=30):
 def test_components_equal_brute_force(spark):
     rows = copies()
     df = spark.createDataFrame([(i, i, t) for i, t in rows], "row long, doc_id long, text string").repartition(5)
-    got = {x.row: x.component.row for x in nearcopies.near_copies(df).collect()}
+    got = {x.row: x.component.row for x in simhash.near_copies(df).collect()}
     want, low = plain_components(rows), {}
     for (i, _), c in zip(rows, want):
         low[c] = min(i, low.get(c, i))
@@ -67,3 +67,21 @@ def test_stage_keeps_one_row_of_each_component(spark):
     rows = [(5, x), (5, y), (3, y), (7, z), (7, z), (None, z), (None, x), (None, x + " end")]
     left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted((d.doc_id, d.text) for d in left.collect()) == sorted([(5, x), (3, y), (7, z)])
+
+
+def test_recall_on_the_documents_table(spark):
+    """Against every pair of texts that share a rare shingle, compared exactly."""
+    texts = sorted({r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if r.text and r.text.split()})
+    sets = [plain_shingles(t) for t in texts]
+    holders = {}
+    for k, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(k)
+    links = set()
+    for own in holders.values():
+        if 1 < len(own) <= 100:
+            links |= {(a, b) for i, b in enumerate(own) for a in own[:i]}
+    links = {(a, b) for a, b in links if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    df = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "row long, doc_id long, text string")
+    found = {x.row: x.component.row for x in simhash.near_copies(df).collect()}
+    assert links and sum(found[a] == found[b] for a, b in links) >= 0.9 * len(links)

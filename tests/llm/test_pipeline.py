@@ -1,25 +1,27 @@
 import re
 import struct
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cliptide.llm.common import staged
 from cliptide.llm.tokens import packed_ids, vocabulary_path
 
+from .test_near_copies import plain_components
 from .test_packing import check_places
 from .test_quality import plain
 from .test_secrets import PATTERNS
-from .test_simhash import plain_components, plain_fingerprint
+
 
 
 @pytest.fixture(scope="module")
 def path(spark, docs, tmp_path_factory):
     """The hard rows with clashing columns, and labels."""
     out = str(tmp_path_factory.mktemp("pipe"))
-    df = spark.read.parquet(f"{docs}/documents.parquet")
+    df = spark.read.parquet(f"{docs}/documents.parquet").withColumns({"a.b": F.col("label"), "_row": F.lit(1), "_0": F.lit(2), "row": F.lit(3), "_at": F.lit(4)})
     df.write.parquet(f"{out}/documents.parquet")
     spark.createDataFrame([(k, 1, 0) for k in range(0, 200, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
     return out
@@ -42,12 +44,12 @@ def test_quality_and_copies(steps):
     start, good, single = ([tuple(r) for r in df.collect()] for df in steps[:3])
     assert all(not plain(r[1])[-1] for r in good)
     assert not Counter(good) - Counter(start)
-    groups = defaultdict(set)
-    found = plain_components([(r[0], plain_fingerprint(r[1])) for r in good])
-    for d, _, c in found:
-        groups[c].add(d)
-    stay = {d for d, _, c in found if d is None or d == c}
-    assert Counter(single) == Counter(r for r in good if r[0] in stay)
+    rows = sorted(good, key=lambda r: (r[0] is None, r[0] or 0))
+    groups, want = {}, []
+    for r, c in zip(rows, plain_components([(k, r[1]) for k, r in enumerate(rows)])):
+        if c not in groups:
+            groups[c] = want.append(r)
+    assert Counter(single) == Counter(want)
 
 
 def test_secrets_go_and_rows_stay(steps):
