@@ -26,9 +26,11 @@ from .common import hot_keys, only, scratch, spread_join, staged
 BITS = 64
 #: Errors allowed within the first so many bits of a rotated fingerprint: for two errors, and for candidates of copies.
 TWO_ERRORS = {6: 1, 12: 1, 16: 1, 20: 1, 24: 1, 32: 1, 40: 2, 48: 2, 56: 2, 64: 2}
-CANDIDATES = {6: 1, 12: 1, 16: 1, 20: 2, 24: 3, 32: 5, 40: 7, 48: 9, 56: 11, 64: 13}
+CANDIDATES = {6: 1, 12: 1, 16: 1, 20: 1, 24: 2, 32: 4, 40: 7, 48: 9, 56: 11, 64: 13}
 #: A near copy: five words a shingle, Jaccard similarity of four fifths; its sketch has WORDS words, each turned four ways.
-SHINGLE, LEAST, WORDS, TURNS = 5, (4, 5), 3, (0, 16, 32, 48)
+SHINGLE, LEAST, WORDS, TURNS = 5, (4, 5), 4, (0, 16, 32, 48)
+#: Rounds in which nodes are compared with their nearest candidate alone.
+NEAREST = 3
 #: Below this depth most nodes have one leaf, and leaves without a neighbour are dropped.
 SPARSE = 20
 
@@ -269,21 +271,30 @@ def near_copies(docs: DataFrame) -> DataFrame:
         word = reps.select("id", F.posexplode("words").alias("w", "word"))
         tries = F.explode(F.array(*[F.struct((F.col("w") * len(TURNS) + k).alias("r"), turned("word", t).alias("code"), "id") for k, t in enumerate(TURNS)]))
         pairs = trie_self_join(word.select(tries.alias("x")).select("x.*"), CANDIDATES)
-        sizes = reps.select("id", "n")
-        pairs = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-        pairs = staged(pairs.where(F.lit(LEAST[1]) * F.least("na", "nb") >= F.lit(LEAST[0]) * F.greatest("na", "nb")).select("a", "b"), "candidates")
+        end = lambda k: reps.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("words").alias(f"w{k}"))
+        size = F.lit(LEAST[1]) * F.least("na", "nb") >= F.lit(LEAST[0]) * F.greatest("na", "nb")
+        far = sum(F.bit_count(F.get("wa", k).bitwiseXOR(F.get("wb", k))) for k in range(WORDS))
+        pairs = staged(pairs.join(end("a"), "a").join(end("b"), "b").where(size).select("a", "b", far.alias("far")), "candidates")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         chosen = reps.join(wanted, "id", "left_semi").select(F.col("label.row").alias("row"), "id")
         texts = staged(docs.join(chosen, "row").select("id", "text"), "texts")
-        # a node's least candidate first: that joins a group of copies by few comparisons; then pairs still apart
-        firsts = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        links = staged(checked(firsts, texts), "links")
-        state = labelled(reps, links, "id")
-        ends = state.select("id", F.col("label.row").alias("at"))
-        apart = pairs.join(ends.select(F.col("id").alias("a"), F.col("at").alias("x")), "a").join(ends.select(F.col("id").alias("b"), F.col("at").alias("y")), "b").where("x != y").select("a", "b")
-        apart = staged(apart.join(firsts, ["a", "b"], "left_anti"), "apart")
-        if apart.limit(1).count():
-            state = labelled(reps, links.unionByName(checked(apart, texts)), "id")
+        # first each node's nearest candidate in another component, which joins a group of variants by few comparisons;
+        # in the end every pair that is still apart
+        state, links, left = reps.select("id", "label"), None, pairs
+        for turn in range(NEAREST + 1):
+            ends = lambda k: state.select(F.col("id").alias(k), F.col("label.row").alias(f"at{k}"))  # noqa: B023, E731
+            apart = staged(left.join(ends("a"), "a").join(ends("b"), "b").where("ata != atb").select("a", "b", "far"), "apart")
+            if not apart.limit(1).count():
+                break
+            test = apart
+            if turn < NEAREST:
+                near = F.min(F.struct("far", "a", "b")).alias("x")
+                test = apart.groupBy("a").agg(near).select("x.*").unionByName(apart.groupBy("b").agg(near).select("x.*")).distinct()
+                test = staged(test, "nearest")
+            fresh = staged(checked(test.select("a", "b"), texts), "links")
+            links = fresh if links is None else links.unionByName(fresh)
+            state = labelled(reps, links, "id")
+            left = apart.join(test.select("a", "b"), ["a", "b"], "left_anti")
         out = staged(state, "states")
         many = hot_keys(reps, "id", "rows")
         kept.append(out)

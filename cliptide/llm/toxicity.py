@@ -5,14 +5,18 @@ before, weighted by DECAY to the power of the span. Its features are explicit (4
 is a weighted sum of kernels with landmarks, folds into one weight per subsequence, and a whole text is scored by a
 few array look-ups per letter. Marks inside a token are dropped and spelled-out letters are joined before scoring.
 
-A document's score comes from its strongest token. Which tokens of toxic sentences carry the label is learned: those
-that occur in many different contexts of toxic documents and hardly in others.
+The machine is trained on labelled sentences: a sentence's Nyström features are those of its strongest token under the
+machine (maximum pooling). A toxic document has at least one toxic sentence, its strongest; all sentences of a clean one
+are clean. Which token carries a sentence is latent, so witnesses and machine are found in turn, from a first guess: the
+tokens that occur in many contexts of toxic documents and hardly in others. Every toxic sentence is learned together
+with copies in which its witness has an inserted or doubled letter, and these copies take part in the calibration too.
 """
 
 from __future__ import annotations
 
 import math
 import random
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,9 +35,12 @@ _SPELLED = "abcdefghijklmnopqrstuvwxyz0123456789ABCDEF|"
 #: Bounds of what is trained on: labelled documents of each class (lowest id hash first), words, landmarks.
 TOXIC_DOCS, CLEAN_DOCS, CLEAN_TOKENS = 1500, 3000, 100_000
 MAX_POSITIVE, MAX_LANDMARKS = 128, 512
-VARIANT_TRUST = 1.0
+#: Rounds of witnesses and machine, copies with an inserted letter a witness, what share of its weight they have, and that of rare witnesses.
+TURNS, VARIANTS, VARIANT_TRUST, RARE_TRUST = 3, 24, 1.0, 0.1
 MIN_LOG_ODDS = 2.5
 CHUNK = 1 << 20
+#: Ordinary words, clean whatever the labelled sentences are: the tables' prose is invented and holds few real words.
+_ORDINARY = "about above after again along around because before below between brown calm cloud clone close closer closest clothes crash cream crown crush dawn discuss discussing distance down drown drum early earth empathetic evening forest garden green ground gust heart house ideal idea idiom idol journey lake later letter little looser lose losing lost meadow mention moment month moral more morning mountain mourn motion movie music night noon number often other path pathology patient patriotic pattern people person place poetic quiet reason river rural school scan scuba sculpture season second small something south stone story street student studio studying stupendous summer sympathetic thrash together track train trace travel under walking warning water weather where winter wonder word worth worthwhile worthy yesterday".split()
 
 
 def _classes() -> np.ndarray:
@@ -156,6 +163,30 @@ class Landmarks:
         return out
 
 
+_SENTENCE = re.compile(rb"[.!?\n]+(?=[\t-\r ]|\Z)")
+_WHOLE_WORD = re.compile(rb"[A-Za-z]{2}[^\t-\r ]*[\t-\r ]+")
+
+
+def parts(data: bytes, size: int = 0) -> Iterator[bytes]:
+    """data in parts of about `size` bytes, each ending behind a word of two letters or more.
+
+    So no token is cut, and no run of single letters that spell out a word; a part grows until there is such a word.
+    """
+    size, at = size or CHUNK, 0
+    while at < len(data):
+        end, seen = min(len(data), at + size), at
+        while end < len(data):
+            last = None
+            for last in _WHOLE_WORD.finditer(data, max(at, end - 4096, seen), end):
+                pass
+            if last is not None and last.end() < end:
+                end = last.end()
+                break
+            seen, end = max(at, end - 4096), min(len(data), end + max(4096, size // 4))
+        yield data[at:end]
+        at = end
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # one float32 a subsequence
@@ -165,18 +196,24 @@ class Model:
 
     def strongest(self, text: str | None) -> float:
         """The largest decision value of a token of the whole text; the bias where there is no token."""
-        data, best, at = (text or "").encode("utf-8", "surrogatepass"), self.bias, 0
-        while at < len(data):  # bounded memory: parts end at white space
-            end = min(len(data), at + CHUNK)
-            if end < len(data):
-                cut = max(data.rfind(b" ", at, end), data.rfind(b"\n", at, end))
-                end = cut + 1 if cut > at else end
-            letters, starts, lengths = tokens_of(data[at:end])
+        best = self.bias
+        for data in parts((text or "").encode("utf-8", "surrogatepass")):
+            letters, starts, lengths = tokens_of(data)
             if len(lengths):
                 best = max(best, self._best(letters, starts, lengths, best - self.bias) + self.bias)
-            at = end
         return best
 
+    def witnesses(self, text: str | None) -> Iterator[tuple[str, float]]:
+        """The strongest token of each sentence and its value."""
+        for data in parts((text or "").encode("utf-8", "surrogatepass")):
+            for sentence in _SENTENCE.split(data):
+                letters, starts, lengths = tokens_of(sentence)
+                if len(lengths):
+                    value = token_sums(letters, starts, self.weights) / norms(lengths)
+                    k = int(np.argmax(value))
+                    token = "".join(map(_SPELLED.__getitem__, letters[starts[k] + 1 : starts[k] + lengths[k] - 1].tolist()))
+                    yield token, float(value[k]) + self.bias
+
     def _best(self, letters: np.ndarray, starts: np.ndarray, lengths: np.ndarray, floor: float) -> float:
         """The largest normalised sum above floor: from the largest bound down, until no bound beats the best."""
         bound = token_sums(letters, starts, self.weights) / norms(lengths)
@@ -199,7 +236,8 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = known.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = known.where("toxic = 1").orderBy(*order).limit(TOXIC_DOCS).unionByName(known.where("toxic = 0").orderBy(*order).limit(CLEAN_DOCS))
-    return docs.join(F.broadcast(ids), "doc_id")  # at most TOXIC_DOCS + CLEAN_DOCS ids
+    rows = docs.join(F.broadcast(ids), "doc_id")  # at most TOXIC_DOCS + CLEAN_DOCS ids
+    return rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).select("doc_id", "text", "toxic")  # repeats count once
 
 
 def held_out():
@@ -228,12 +266,12 @@ def _token_table(sample: DataFrame) -> DataFrame:
     return rows.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
 
 
-def variants(token: str, r: random.Random, n: int = 8) -> list[str]:
-    """The token with a character inserted or doubled somewhere inside."""
+def variants(token: str, r: random.Random, n: int = VARIANTS) -> list[str]:
+    """The token with a letter inserted or doubled somewhere inside."""
     out = []
     for _ in range(n):
         k = r.randrange(1, len(token))
-        out.append(token[:k] + (r.choice("xzqykw") if r.random() < 0.6 else token[k - 1]) + token[k:])
+        out.append(token[:k] + (r.choice("abcdefghijklmnopqrstuvwxyz") if r.random() < 0.8 else token[k - 1]) + token[k:])
     return out
 
 
@@ -287,12 +325,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     table = staged(_token_table(sample), "tokens")
     odds = F.log((F.col("toxic") + 0.5) / F.lit(n1 + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(n0 + 1.0))
     strong = table.where((F.col("toxic") >= max(3, n1 // 70)) & (odds > MIN_LOG_ODDS))
-    positive = [r.token for r in strong.orderBy(F.desc("toxic"), "token").limit(MAX_POSITIVE).collect()]
+    guess = strong.orderBy(F.desc("toxic"), "token").limit(MAX_POSITIVE).collect()
+    positive = [r.token for r in guess]
+    common = {r.token for r in guess if 8 * r.toxic >= guess[0].toxic}  # far rarer ones are no words that people bend
     if not positive:
         return flat
     clean = [r.token for r in table.where(odds < 1).orderBy(F.xxhash64("token"), "token").limit(CLEAN_TOKENS).collect()]
     r = random.Random(5)
-    made = [v for p in positive[:32] for v in variants(p, r)]
     joined = np.concatenate([codes(t) for t in clean]) if clean else np.zeros(0, np.int64)
     lengths = np.array([len(t) + 2 for t in clean], np.int64)
     starts = np.cumsum(lengths) - lengths
@@ -301,10 +340,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return token_sums(joined, starts, weights.astype(np.float32)) / norms(lengths) + bias
 
     near = np.max([decide(features(t), 0.0) for t in positive[:32]], axis=0) if clean else np.zeros(0)
-    hard = [int(k) for k in np.argsort(-near, kind="stable")[:1000]]
-    rest = [k for k in range(0, len(clean), max(1, len(clean) // 1000))]
-    marks = positive + [clean[k] for k in hard[: max(0, MAX_LANDMARKS - len(positive))]]
-    landmarks = Landmarks(marks)
+    hard = [clean[int(k)] for k in np.argsort(-near, kind="stable")[:1000]]
+    landmarks = Landmarks(positive + hard[: max(0, MAX_LANDMARKS - len(positive))])
     values, vectors = np.linalg.eigh(landmarks.rows @ landmarks.rows.T)
     root = vectors / np.sqrt(np.maximum(values, 1e-8)) @ vectors.T
     known: dict[str, np.ndarray] = {}
@@ -314,28 +351,50 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             known[token] = root @ landmarks.kernel(token)
         return known[token]
 
-    chosen = dict.fromkeys(hard + rest)
-    for _ in range(5):  # wrongly high clean tokens join the negatives
-        negative = [clean[k] for k in chosen]
-        x = np.array([mapped(t) for t in positive + made + negative])
-        y = np.array([1.0] * (len(positive) + len(made)) + [-1.0] * len(negative))
-        trust = np.array([1.0] * len(positive) + [VARIANT_TRUST] * len(made) + [1.0] * len(negative))
+    toxic = dict.fromkeys(positive, 1)  # witness -> toxic sentences
+    negative = dict.fromkeys([*[t for t in _ORDINARY if t not in toxic], *hard, *clean[:: max(1, len(clean) // 1000)]])
+    for turn in range(TURNS):
+        made = {t: variants(t, r) for t in toxic if t in common}
+        x = np.array([mapped(t) for t in [*toxic, *[v for vs in made.values() for v in vs], *negative]])
+        y = np.array([1.0] * (len(x) - len(negative)) + [-1.0] * len(negative))
+        share = {t: math.sqrt(n) * (1.0 if t in common else RARE_TRUST) for t, n in toxic.items()}
+        trust = np.array([*share.values(), *[share[t] * VARIANT_TRUST / len(vs) for t, vs in made.items() for _ in vs], *[1.0] * len(negative)])
         w, bias = fit_machine(x, y, trust)
-        weights = landmarks.folded(root @ w)
-        worst = np.argsort(-decide(weights, bias), kind="stable")[:600] if clean else []
-        before = len(chosen)
-        chosen |= dict.fromkeys(int(k) for k in worst)
-        if len(chosen) == before:
-            break
-    model = Model(weights.astype(np.float32), bias, 1.0, 0.0)
+        model = Model(landmarks.folded(root @ w).astype(np.float32), bias, 1.0, 0.0)
+        if turn + 1 < TURNS:
+            found = staged(_witnesses(sample, model), "witnesses")
+            rows = found.where("toxic = 1").orderBy(F.desc("n"), "token").limit(MAX_POSITIVE).collect()
+            toxic = dict.fromkeys(positive, 1) | {t.token: t["n"] for t in rows if t["n"] >= max(3, n1 // 70) and t.token in positive}
+            negative |= dict.fromkeys(t.token for t in found.where("toxic = 0").orderBy(F.desc("value"), "token").limit(1000).collect() if t.token not in toxic)
+            worst = np.argsort(-decide(model.weights.astype(float), bias), kind="stable")[:600] if clean else []
+            negative |= dict.fromkeys(clean[int(k)] for k in worst if clean[int(k)] not in toxic)
     values = strongest(sample.select("doc_id", "text", "toxic"), model).select("toxic", "value").collect()  # the bounded sample
     v, t = np.array([a.value for a in values]), np.array([a.toxic for a in values], float)
     share = total[1] / (total[0] + total[1])
     weight = np.where(t > 0.5, share / (n1 / (n1 + n0)), (1 - share) / (n0 / (n1 + n0)))
+    bent = np.array([float(mapped(q) @ w) + bias for p in toxic for q in made.get(p, [])])  # toxic sentences with a bent witness
+    v, t = np.append(v, bent), np.append(t, np.ones(len(bent)))
+    weight = np.append(weight, np.full(len(bent), weight[: len(values)][t[: len(values)] > 0.5].sum() / max(1, len(bent))))
     model.slope, model.offset = fit_slope(v, t, weight)
     return model
 
 
+def _witnesses(sample: DataFrame, model: Model) -> DataFrame:
+    """token, toxic, n (sentences that it carries) and its value: of a toxic document its strongest sentence alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: list[tuple[str, int, float]] = []
+            for text, toxic in zip(b.column(0), b.column(1).to_pylist()):
+                found = [(t, toxic, x) for t, x in model.witnesses(text.as_py()) if len(t) > 2]
+                rows += [max(found, key=lambda f: f[2])] if toxic and found else found
+            cols = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.float64())], ["token", "toxic", "value"])
+
+    rows = sample.select("text", "toxic").mapInArrow(run, "token string, toxic int, value double")
+    return rows.groupBy("token", "toxic").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("value"))
+
+
 def strongest(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id (and toxic, if there) with the decision value of the strongest token."""
     more = ["toxic"] if "toxic" in docs.columns else []

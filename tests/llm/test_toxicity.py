@@ -5,6 +5,8 @@ import pytest
 
 from cliptide.llm import queries, toxicity
 
+from .conftest import rows_of
+
 PATH = "/root/testdata/sf0.1"
 
 
@@ -75,9 +77,34 @@ def test_gaps_and_insertions_are_tolerated(model):
     assert score("the house by the river is green and quiet this morning") < 0.5
     for insult in ("idiot", "i d i o t", "i.d.i.o.t", "IDIOT!!", "i-di-ot", "clown", "stupid"):
         assert score(f"{clean} {insult} {clean}") > 0.5, insult
-    inserted = [w[:k] + "x" + w[k:] for w in ("worthless", "pathetic", "disgusting", "stupid", "idiot") for k in range(2, len(w) - 1)]
-    values = [score(f"{clean} {w} {clean}") for w in inserted]
-    assert np.mean([v > 2 * score(clean) for v in values]) > 0.7
+    inserted = [w[:k] + c + w[k:] for w in ("worthless", "pathetic", "disgusting", "stupid", "idiot") for k in range(1, len(w)) for c in "xzqeo"]
+    assert np.mean([score(f"{clean} {w} {clean}") >= 0.5 for w in inserted]) > 0.8
+
+
+def test_score_does_not_depend_on_cuts(model):
+    words = "green house i d i o t by the m.o.r.o.n river é ü stuuupid a b c x-y d ".split(" ") * 40
+    for size in (1, 7, 64, 500, 4096):
+        for text in (" ".join(words), " ".join("idiot"), "i d i o t " * 300, "x" * 5000 + " i d i o t " + "word " * 50):
+            data = text.encode()
+            cut = list(toxicity.parts(data, size))
+            assert b"".join(cut) == data
+            assert [t for part in cut for t in toxicity._words(part)] == toxicity._words(data), (size, text[:30])
+
+
+def test_query_equals_plain_kernel_machine(spark, docs, model):
+    """Every token of every text by its dense feature vector, without bounds, parts or shared sums."""
+    known = {}
+    for r in toxicity.strongest(spark.read.parquet(f"{docs}/documents.parquet").where("length(text) < 2000 or text is null"), model).collect():
+        known.setdefault(r.doc_id, []).append(r.value)
+    dense = {}
+    for d, t in rows_of(spark, docs):
+        if t is None or len(t) < 2000:
+            tokens = toxicity._words((t or "").encode())
+            for w in tokens:
+                if w not in dense:
+                    dense[w] = float(toxicity.features(w) @ model.weights.astype(float))
+            want = model.bias + max([0.0, *[dense[w] for w in tokens]])
+            assert any(abs(v - want) < 1e-3 for v in known[d]), (d, t)
 
 
 def test_long_texts_are_read_whole(model):
