@@ -21,9 +21,12 @@ ALLOWED = ("same_interaction_merged", "action_synonym_mapped")
 def candidates(subtasks: DataFrame, windows: DataFrame, sources: DataFrame) -> DataFrame:
     """Subtasks on window time as candidates on source time; subtasks of windows not exported are left out.
 
-    subtasks: episode_id, subtask_id, start_time_sec, end_time_sec, training_eligible, quality_flags and labels.
+    A window whose source is missing raises. subtasks: episode_id, subtask_id, start_time_sec, end_time_sec, training_eligible, quality_flags and labels.
     """
-    rows = subtasks.join(windows.where("export_ok").select("episode_id", "clip_uid", "window_start_sec", "window_end_sec", "window_duration_sec", "overlap_sec"), "episode_id").join(sources.select("clip_uid", F.col("duration_sec").alias("_source")), "clip_uid")
+    rows = subtasks.join(windows.where("export_ok").select("episode_id", "clip_uid", "window_start_sec", "window_end_sec", "window_duration_sec", "overlap_sec"), "episode_id")
+    rows = rows.join(sources.select("clip_uid", F.col("duration_sec").alias("_source"), F.lit(True).alias("_known")), "clip_uid", "left")
+    lost = F.raise_error(F.concat(F.lit("no source for window "), "episode_id")).cast("double")
+    rows = rows.withColumn("_source", F.when(F.col("_known"), F.col("_source")).otherwise(lost)).drop("_known")
     d, w, o = F.col("window_duration_sec"), F.col("window_start_sec"), F.col("overlap_sec")
     local = lambda c: F.greatest(F.lit(0.0), F.least(d, F.coalesce(F.col(c), F.lit(0.0))))
     source = lambda x: F.greatest(F.lit(0.0), F.least(F.col("_source"), w + x))
@@ -59,11 +62,47 @@ def normalise(subtasks: DataFrame) -> DataFrame:
 
 
 def repair(subtasks: DataFrame, fps: float = 1.0, tolerance: float = 0.2, pause: float = 1.5) -> DataFrame:
-    """Normalised subtasks sorted, freed of contained duplicates, with small gaps closed and interactions merged."""
+    """Subtasks normalised, sorted, freed of contained duplicates, with small gaps closed and interactions merged.
+
+    A row keeps its first fine action and all its flags; a row without flags is eligible for training.
+    """
     rows = contained(normalise(subtasks), "episode_id", "action", "object").where("not duplicate").drop("duplicate")
-    rows = closed_gaps(rows, "episode_id", tolerance)
-    merged = interactions(rows, "episode_id", pause)
-    return merged.select("episode_id", "subtask_id", "start_sec", "end_sec", labels.frame_index(F.col("start_sec"), F.lit(fps)).alias("start_frame"), labels.frame_index(F.col("end_sec"), F.lit(fps)).alias("end_frame"), "action", "object", joined_clauses(F.col("instructions")).alias("instruction"), "merged_rows")
+    merged = interactions(closed_gaps(rows, "episode_id", tolerance), "episode_id", pause)
+    frame = lambda c: labels.frame_index(F.col(c), F.lit(fps))
+    return merged.select(
+        "episode_id", "subtask_id", "start_sec", "end_sec", frame("start_sec").alias("start_frame"), frame("end_sec").alias("end_frame"), "action", "fine_action", "object",
+        joined_clauses(F.col("instructions")).alias("instruction"), "quality_flags", (F.size("quality_flags") == 0).alias("training_eligible"), "merged_rows",
+    )
+
+
+def repair_flags(subtasks: DataFrame, tolerance: float = 0.2, pause: float = 1.5) -> DataFrame:
+    """episode_id and repair_flags of episodes with subtasks: what repair() had to change, each flag once.
+
+    Flags of single rows come in list order, then those of the steps in the order of the steps. A row with `broken` was
+    no object; it counts as invalid_subtask_type and takes part in nothing else.
+    """
+    if "broken" not in subtasks.columns:
+        subtasks = subtasks.withColumn("broken", F.lit(False))
+    rows = normalise(subtasks.where("not broken"))
+    broken = subtasks.where("broken").select("episode_id", "pos", F.array(F.lit("invalid_subtask_type")).alias("repair_flags"))
+    listed = rows.select("episode_id", "pos", "repair_flags").unionByName(broken)
+    own = listed.groupBy("episode_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "repair_flags"))), lambda x: x["repair_flags"])).alias("own"))
+    span = F.struct("start_sec", "end_sec")
+    unsorted = rows.withColumn("late", span < F.lag(span).over(Window.partitionBy("episode_id").orderBy("pos")))
+    marked = contained(unsorted, "episode_id", "action", "object")
+    closed = closed_gaps(marked.where("not duplicate").drop("duplicate"), "episode_id", tolerance)
+    merged = interactions(closed, "episode_id", pause)
+    some = lambda df, test, name: df.groupBy("episode_id").agg(F.bool_or(F.coalesce(test, F.lit(False))).alias(name))
+    steps = {
+        "subtasks_sorted": some(unsorted, F.col("late"), "subtasks_sorted"),
+        "contained_duplicate_removed": some(marked, F.col("duplicate"), "contained_duplicate_removed"),
+        "small_gap_repaired": some(closed, F.col("gap_repaired"), "small_gap_repaired"),
+        "same_interaction_merged": some(merged, F.col("merged_rows") > 1, "same_interaction_merged"),
+    }
+    for step in steps.values():
+        own = own.join(step, "episode_id", "left")
+    found = F.array_compact(F.array(*[F.when(F.col(name), F.lit(name)) for name in steps]))
+    return own.select("episode_id", F.array_distinct(F.concat("own", found)).alias("repair_flags"))
 
 
 def row_flags(rows: DataFrame, least: float = 3.0) -> DataFrame:

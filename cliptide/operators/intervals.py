@@ -123,8 +123,10 @@ def coverage(rows: DataFrame, key: str, duration: str) -> DataFrame:
 def interactions(rows: DataFrame, key: str, pause: float = 1.5) -> DataFrame:
     """Neighbouring rows of one (action, object) merged while the pause between them is short, renumbered from 0.
 
-    Rows with end < start take part with their start as end in the running maximum.
+    Rows with end < start take part with their start as end in the running maximum. fine_action and quality_flags are
+    carried where rows have them: the first row's action, and all flags in order.
     """
+    more = [c for c in ("fine_action", "quality_flags") if c in rows.columns]
     order = ["start_sec", "end_sec", "pos"]
     by = Window.partitionBy(key).orderBy(*order)
     changed = ~(F.col("action").eqNullSafe(F.lag("action").over(by)) & F.col("object").eqNullSafe(F.lag("object").over(by)))
@@ -140,7 +142,8 @@ def interactions(rows: DataFrame, key: str, pause: float = 1.5) -> DataFrame:
         F.first("action").alias("action"),
         F.first("object").alias("object"),
         F.count(F.lit(1)).alias("merged_rows"),
-        F.transform(F.array_sort(F.collect_list(F.struct(*order, "instruction"))), lambda x: x["instruction"]).alias("instructions"),
-    )
+        F.array_sort(F.collect_list(F.struct(*order, "instruction", *more))).alias("_all"),
+    ).withColumn("instructions", F.transform("_all", lambda x: x["instruction"]))
     number = F.row_number().over(Window.partitionBy(key).orderBy("_first")) - 1
-    return merged.select(key, number.alias("subtask_id"), F.col("_first.start_sec").alias("start_sec"), "end_sec", "action", "object", "merged_rows", "instructions")
+    kept = {"fine_action": F.get("_all", 0)["fine_action"], "quality_flags": F.array_distinct(F.flatten(F.transform("_all", lambda x: x["quality_flags"])))} if more else {}
+    return merged.select(key, number.alias("subtask_id"), F.col("_first.start_sec").alias("start_sec"), "end_sec", "action", "object", "merged_rows", "instructions", *[kept[c].alias(c) for c in more])

@@ -22,8 +22,12 @@ from cliptide.operators import annotations as ann
 REPLY = "episode_id string, text string, model string, error string"
 
 
+#: What a backend is handed of an episode, as far as the episode has it.
+REQUEST = ("episode_id", "system", "prompt", "task_hint", "times", "images", "camera_roles", "metadata")
+
+
 class Backend(Protocol):
-    """Answers one request (episode_id, prompt, task_hint, times, images) with {text, model}; must be picklable."""
+    """Answers one request (REQUEST) with {text, model}; must be picklable."""
 
     def annotate(self, request: dict) -> dict: ...
 
@@ -61,7 +65,7 @@ class HttpBackend:
                 content.append({"type": "image_url", "image_url": {"url": "data:image/jpeg;base64," + base64.b64encode(f.read()).decode()}})
         body = {
             "model": self.model, "temperature": self.temperature, "max_tokens": self.tokens, "messages": [{"role": "system", "content": request.get("system", "")}, {"role": "user", "content": content}],
-            "response_format": {"type": "json_schema", "json_schema": {"name": "video_annotation", "strict": True, "schema": reply_schema()}},
+            "response_format": {"type": "json_schema", "json_schema": {"name": "timed_subtasks", "strict": True, "schema": reply_schema()}},
         }
         call = urllib.request.Request(self.url.rstrip("/") + "/chat/completions", json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {os.environ.get(self.key_variable, '')}"})
         try:
@@ -86,7 +90,7 @@ def local_model(load: Callable[[], Callable[[dict], str]], name: str) -> Callabl
 
 
 def ask(pending: DataFrame, backend: Backend | str) -> DataFrame:
-    """Replies to pending (episode_id, prompt, task_hint, times); a failure is a row with its error."""
+    """Replies to pending (REQUEST: episode_id, prompt and what else there is); a failure is a row with its error."""
     if backend == "mock":
         return pending.select("episode_id", mock_reply(F.col("times"), F.col("task_hint")).alias("text"), F.lit("mock-v0.1").alias("model"), F.lit(None).cast("string").alias("error"))
 
@@ -101,28 +105,31 @@ def ask(pending: DataFrame, backend: Backend | str) -> DataFrame:
                     out.append((r["episode_id"], None, None, repr(error)))
             yield pd.DataFrame(out, columns=["episode_id", "text", "model", "error"])
 
-    return pending.select("episode_id", "prompt", "task_hint", "times").mapInPandas(run, REPLY)
+    known = [c for c in REQUEST if c in pending.columns]
+    return pending.select(*known).mapInPandas(run, REPLY)
 
 
 def subtasks_of(replies: DataFrame) -> DataFrame:
-    """Raw subtasks of parsed replies (episode_id, duration_sec, object); entries that are no objects are dropped."""
+    """Raw subtasks of parsed replies (episode_id, duration_sec, object); `broken` marks entries that are no objects."""
     top = F.from_json("object", "struct<video_level_instruction string, subtasks array<string>>")
     rows = replies.select("episode_id", "duration_sec", F.posexplode(F.coalesce(top["subtasks"], F.expr("cast(array() as array<string>)"))).alias("pos", "one"))
     one = F.from_json("one", "struct<start_time_sec string, end_time_sec string, action string, fine_action string, object string, instruction string>")
-    rows = rows.where(F.startswith(F.ltrim("one"), F.lit("{"))).withColumn("o", one)
-    return rows.select("episode_id", "duration_sec", "pos", F.col("o.start_time_sec").alias("start"), F.col("o.end_time_sec").alias("end"), "o.action", "o.fine_action", "o.object", "o.instruction")
+    rows = rows.withColumns({"o": one, "broken": ~F.coalesce(F.startswith(F.ltrim("one"), F.lit("{")), F.lit(False))})
+    return rows.select("episode_id", "duration_sec", "pos", F.col("o.start_time_sec").alias("start"), F.col("o.end_time_sec").alias("end"), "o.action", "o.fine_action", "o.object", "o.instruction", "broken")
 
 
 def judged(replies: DataFrame, tolerance: float = 0.2, pause: float = 1.5) -> tuple[DataFrame, DataFrame]:
     """(subtasks, report) of replies (episode_id, duration_sec, text): repaired rows, and flags, reasons and validity."""
     parsed = replies.withColumn("object", model_object(F.col("text")))
-    rows = ann.repair(subtasks_of(parsed.where("object is not null")), tolerance=tolerance, pause=pause)
-    rows = rows.join(replies.select("episode_id", "duration_sec"), "episode_id").withColumns({"pos": F.col("subtask_id"), "fine_action": F.col("action")})
+    raw = subtasks_of(parsed.where("object is not null"))
+    rows = ann.repair(raw.where("not broken"), tolerance=tolerance, pause=pause)
+    rows = rows.join(replies.select("episode_id", "duration_sec"), "episode_id").withColumn("pos", F.col("subtask_id"))
     said = F.try_variant_get(F.try_parse_json("object"), "$.video_level_instruction", "string")
     episodes = parsed.select("episode_id", "duration_sec", said.alias("video_level_instruction"), F.col("object").isNull().alias("unread"))
     report = ann.validate(episodes, rows).join(episodes.select("episode_id", "unread", "video_level_instruction"), "episode_id")
+    report = report.join(ann.repair_flags(raw, tolerance, pause), "episode_id", "left")
     lost = F.array(F.lit("vlm_parse_failure"))
-    flags = F.when(F.col("unread"), lost).otherwise(F.col("quality_flags"))
+    flags = F.when(F.col("unread"), lost).otherwise(F.array_union("quality_flags", F.coalesce("repair_flags", F.expr("cast(array() as array<string>)"))))
     return rows, report.select("episode_id", "video_level_instruction", "coverage_ratio", flags.alias("quality_flags"), F.when(F.col("unread"), lost).otherwise(F.col("retry_reasons")).alias("retry_reasons"), (F.col("valid") & ~F.col("unread")).alias("valid"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cliptide.operators import annotations as ann
 from cliptide.sources import manifests
-from cliptide.sources.files import read_jsonl, write_document, write_jsonl
+from cliptide.sources.files import make_folder, read_jsonl, write_document, write_jsonl
 from cliptide.sources.media import export
 
 from . import long_video
@@ -33,10 +33,21 @@ def flat(annotations: DataFrame) -> DataFrame:
     return annotations.select("episode_id", "duration_sec", F.posexplode("subtasks").alias("pos", "s")).select("episode_id", "duration_sec", "pos", "s.*", F.col("s.start_time_sec").alias("start_sec"), F.col("s.end_time_sec").alias("end_sec"))
 
 
+def kept(spark: SparkSession, folder: str):
+    """A keep() that writes tables below folder and reads them back: media are probed and cut once."""
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        return spark.read.parquet(f"{folder}/{name}.parquet")
+
+    return keep
+
+
 def _prepare(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = read_jsonl(spark, a.manifest, MANIFEST)
-    rows = rows.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])).toDF(f"{MANIFEST}, row_index long")  # a manifest's own row numbers name its errors
-    sources = manifests.load_manifest(rows, least=a.min_duration, most=a.max_duration)
+    rows = rows.withColumn("row_index", F.monotonically_increasing_id())  # in file order; names a row in errors
+    sources = manifests.load_manifest(rows, least=a.min_duration, most=a.max_duration, keep=kept(spark, f"{a.output}/_kept"))
+    make_folder(spark, f"{a.output}/windows")
     write_jsonl(sources, f"{a.output}/source_videos")
     sources = read_jsonl(spark, f"{a.output}/source_videos", SOURCE)
     cut = lambda df: export(df.withColumn("target", F.concat(F.lit(f"{a.output}/windows/"), "episode_id", F.lit(".mp4"))), "window", ffmpeg)
@@ -46,9 +57,10 @@ def _prepare(spark: SparkSession, a: argparse.Namespace) -> None:
 def _finalize(spark: SparkSession, a: argparse.Namespace) -> None:
     sources, windows = read_jsonl(spark, f"{a.work}/source_videos", SOURCE), read_jsonl(spark, f"{a.work}/analysis_windows", WINDOW)
     notes = read_jsonl(spark, a.annotations or f"{a.work}/annotations", ANNOTATION)
+    make_folder(spark, f"{a.work}/segments")
     paths = sources.select("clip_uid", "source_clip_path", "source_seek_offset_sec")
     cut = lambda df: export(df.join(paths, "clip_uid").withColumn("target", F.concat(F.lit(f"{a.work}/segments/"), "segment_id", F.lit(".mp4"))), "segment", ffmpeg, crf=23)
-    out = long_video.finalize(sources, windows, flat(notes), notes, cut, a.least, a.allow_incomplete)
+    out = long_video.finalize(sources, windows, flat(notes), notes, cut, a.least, a.allow_incomplete, kept(spark, f"{a.work}/_kept"))
     for name, value in out.items():
         if isinstance(value, DataFrame):
             write_jsonl(value, f"{a.work}/{name}")

@@ -14,6 +14,7 @@ from cliptide.operators.intervals import analysis_windows
 from cliptide.operators.stitch import timeline
 
 Export = Callable[[DataFrame], DataFrame]
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
 def prepare(sources: DataFrame, export: Export, length: float = 30.0, overlap: float = 5.0, limit: int | None = None) -> DataFrame:
@@ -63,12 +64,19 @@ def totals(segments: DataFrame) -> dict:
     }
 
 
-def finalize(sources: DataFrame, windows: DataFrame, subtasks: DataFrame, reports: DataFrame, export: Export, least: float = 3.0, allow_incomplete: bool = False) -> dict[str, DataFrame | dict]:
-    """The tables of a finished run; pending windows raise unless allowed, unknown annotations do not."""
+def finalize(sources: DataFrame, windows: DataFrame, subtasks: DataFrame, reports: DataFrame, export: Export, least: float = 3.0, allow_incomplete: bool = False, keep: Keep = lambda df, name: df.persist()) -> dict[str, DataFrame | dict]:
+    """The tables of a finished run; pending windows raise unless allowed, unknown annotations do not.
+
+    subtasks: rows of annotate() or of a read annotation table. keep(df, name) holds the exported timeline, by a written
+    table on a cluster, so that every segment is cut once.
+    """
+    for name in ("start", "end"):
+        if f"{name}_time_sec" not in subtasks.columns:
+            subtasks = subtasks.withColumnRenamed(f"{name}_sec", f"{name}_time_sec")
     expected = windows.where("export_ok").select("episode_id")
     todo = ann.pending(expected, reports)
     if not allow_incomplete and (n := todo.count()):
         raise RuntimeError(f"{n} windows are not annotated yet")
     found = ann.candidates(subtasks, windows, sources).withColumn("pos", F.col("pos") if "pos" in subtasks.columns else F.lit(0))
-    segments = export(timeline(found, sources, least))
+    segments = keep(export(timeline(found, sources, least)), "timeline")
     return {"candidates": found, "timeline": segments, "training": ann.training_rows(segments), "review": ann.training_rows(segments, False), "summaries": summaries(sources, windows, reports, segments), "decisions": decisions(segments), "pending": todo, "unknown": ann.unknown_episodes(reports, windows).select("episode_id"), "summary": totals(segments)}

@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Rows of a JSON-lines file; a missing file is empty, blank lines are skipped, a malformed line raises."""
     if not exists(spark, path):

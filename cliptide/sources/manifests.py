@@ -41,7 +41,7 @@ def _counts(df: DataFrame) -> dict[str, int]:
     return {r["reason"] or "prepared": r["n"] for r in df.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def load_manifest(rows: DataFrame, probe: Probe = probe_duration, is_file: Exists = os.path.isfile, least: float = MIN_SEC, most: float = MAX_SEC) -> DataFrame:
+def load_manifest(rows: DataFrame, probe: Probe = probe_duration, is_file: Exists = os.path.isfile, least: float = MIN_SEC, most: float = MAX_SEC, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df.persist()) -> DataFrame:
     """Sound sources of a manifest (row_index, source_clip_path, dataset, clip_uid, source_start_sec, source_end_sec, task_hint, ...).
 
     All errors are found in one pass and raised together; an empty manifest raises.
@@ -51,6 +51,7 @@ def load_manifest(rows: DataFrame, probe: Probe = probe_duration, is_file: Exist
     uid = F.coalesce(F.nullif(F.trim("clip_uid"), F.lit("")), labels.default_clip_uid(F.col("dataset"), F.col("source_clip_path")))
     checked = manifest_errors(with_durations(rows.withColumn("clip_uid", labels.safe_identifier(uid)), probe=probe, exists=is_file), least, most)
     checked = checked.withColumn("error", F.when(~F.col("found") & (F.col("error") == "probe_failed"), "file_not_found").otherwise(F.col("error")))
+    checked = keep(checked, "checked")  # every file is probed once
     bad = checked.where("error is not null").orderBy("row_index").limit(100).collect()
     if bad:
         raise ValueError("bad source manifest:\n" + "\n".join(f"row {r.row_index}: {r.error} (duration {r.duration_sec}s, outside [{least}, {most}] is refused)" for r in bad))

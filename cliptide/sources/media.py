@@ -101,5 +101,5 @@ def export(df: DataFrame, kind: str, run_command: Callable[[list[str]], int], pr
             frame["exported_duration_sec"] = frame["exported_duration_sec"].astype(object).where(frame["exported_duration_sec"].notna(), None)
             yield frame
 
-    done = df.select("source_clip_path", "source_seek_offset_sec", "start_sec", "duration_sec", "target").mapInPandas(run, "target string, exported_duration_sec double, export_ok boolean, export_error string")
+    done = df.select("source_clip_path", "source_seek_offset_sec", "start_sec", "duration_sec", "target").repartition("target").mapInPandas(run, "target string, exported_duration_sec double, export_ok boolean, export_error string")
     return df.join(done, "target", "left")

@@ -250,7 +250,6 @@ def test_prepare_to_finalize(spark, tmp_path):
     assert [r.window_start_sec for r in windows.orderBy("window_index").collect()] == [0.0, 25.0, 40.0]
     eps = windows.select("episode_id", F.col("window_duration_sec").alias("duration_sec"), F.lit("P").alias("prompt"), F.lit("Sweep the floor.").alias("task_hint"), labels.sample_times(F.col("window_duration_sec")).alias("times"))
     subtasks, report, _ = annotate.annotate(eps, "mock", keeper(spark, tmp_path))
-    subtasks = subtasks.withColumns({"start_time_sec": F.col("start_sec"), "end_time_sec": F.col("end_sec"), "training_eligible": F.lit(True), "quality_flags": F.expr("cast(array() as array<string>)")}).drop("start_sec", "end_sec", "duration_sec", "pos")
     out = long_video.finalize(sources, windows, subtasks, report, good)
     assert out["summary"]["timeline_duration_sec"] == 70 and out["pending"].count() == 0 and out["unknown"].count() == 0
     assert out["training"].count() + out["review"].count() == out["timeline"].count() == out["decisions"].count()

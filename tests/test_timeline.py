@@ -99,20 +99,32 @@ def stitch_plain(duration, cands):
     return out
 
 
+def by_clip(rows):
+    """Rows by clip, in order of start."""
+    out = {}
+    for r in sorted(rows, key=lambda r: (r["clip_uid"], r["start_sec"])):
+        out.setdefault(r["clip_uid"], []).append(r)
+    return out
+
+
 def shortest_first(rows, least):
-    """The minimum length by rescanning all rows each time."""
-    rows = [r | {"uncovered_duration_sec": stitch._length(r) if "uncovered_by_qwen" in r["quality_flags"] else 0.0} for r in rows]
-    while len(rows) > 1:
-        short = [i for i, r in enumerate(rows) if stitch._length(r) < least]
-        if not short:
-            break
-        i = min(short, key=lambda k: (stitch._length(rows[k]), k))
-        near = [k for k in (i - 1, i + 1) if 0 <= k < len(rows)]
-        alike = [k for k in near if key_plain(rows[k]) == key_plain(rows[i])] if len(near) == 2 else near
-        j = min(alike or near, key=lambda k: (stitch._length(rows[k]), k))
-        a = min(i, j)
-        rows[a : a + 2] = [stitch._pair(rows[a], rows[a + 1])]
-    return rows
+    """The minimum length by rescanning all rows each time; a row is a list of the rows it was made of."""
+    size = lambda g: round(g["end"] - g["start"], 3)
+    kind = lambda r: key_plain(r)
+    groups = [{"start": r["start_sec"], "end": r["end_sec"], "kind": kind(r), "text": r["instruction"] or "", "of": [r]} for r in rows]
+    while len(groups) > 1 and any(size(g) < least for g in groups):
+        i = min(range(len(groups)), key=lambda k: (size(groups[k]), k))
+        near = [k for k in (i - 1, i + 1) if 0 <= k < len(groups)]
+        j = min(near, key=lambda k: (groups[k]["kind"] != groups[i]["kind"], size(groups[k]), k))
+        a, b = groups[min(i, j)], groups[max(i, j)]
+        same = a["kind"] == b["kind"]
+        groups[min(i, j) : max(i, j) + 1] = [{"start": a["start"], "end": b["end"], "kind": a["kind"] if same else ("compound", ""), "text": stitch.joined(a["text"], b["text"]), "of": a["of"] + b["of"]}]
+    out = []
+    for g in groups:
+        first, mixed = g["of"][0], len({kind(r) for r in g["of"]}) > 1
+        bare = sum(round(1000 * r["end_sec"]) - round(1000 * r["start_sec"]) for r in g["of"] if "uncovered_by_qwen" in r["quality_flags"])
+        out.append(first | {"end_sec": g["end"], "action": "other" if mixed else first["action"], "instruction": g["text"] if len(g["of"]) > 1 else first["instruction"], "candidate_ids": sorted({c for r in g["of"] for c in r["candidate_ids"]}), "uncovered_duration_sec": bare / 1000, "label_source": stitch.MERGED if mixed else first["label_source"]})
+    return out
 
 
 def test_timeline_equals_plain_loops(spark):
@@ -123,10 +135,10 @@ def test_timeline_equals_plain_loops(spark):
     names = [c.split()[0] for c in CAND.split(", ")]
     plain = {c: stitch_plain(100.0, [dict(zip(names, r)) for r in rows if r[0] == c]) for c in clips}
     fields = ("start_sec", "end_sec", "action", "fine_action", "object", "instruction", "training_eligible", "quality_flags", "candidate_ids", "source_episode_ids", "label_source")
-    got = stitch.groups(r.asDict() for r in stitch.merge_neighbours(stitch.resolve(df, sources)).collect())
+    got = by_clip(r.asDict() for r in stitch.merge_neighbours(stitch.resolve(df, sources)).collect())
     for c in clips:
         assert [{k: r[k] for k in fields} for r in got[c]] == [{k: r[k] for k in fields} for r in plain[c]]
-    final = stitch.groups(r.asDict() for r in stitch.timeline(df, sources, 3.0).collect())
+    final = by_clip(r.asDict() for r in stitch.timeline(df, sources, 3.0).collect())
     for c in clips:
         want = shortest_first(plain[c], 3.0)
         assert [(r["start_sec"], r["end_sec"], r["action"], r["label"], r["candidate_ids"], r["uncovered_duration_sec"], r["label_source"]) for r in final[c]] == [(r["start_sec"], r["end_sec"], r["action"], r["instruction"], r["candidate_ids"], r["uncovered_duration_sec"], r["label_source"]) for r in want]
