@@ -31,8 +31,10 @@ CANDIDATES = {6: 1, 12: 1, 16: 1, 20: 1, 24: 2, 32: 4, 40: 7, 48: 9, 56: 11, 64:
 SHINGLE, LEAST, WORDS, TURNS = 5, (4, 5), 4, (0, 16, 32, 48)
 #: Rounds in which nodes are compared with their nearest candidate alone.
 NEAREST = 3
-#: Below this depth most nodes have one leaf, and leaves without a neighbour are dropped.
-SPARSE = 20
+#: At this depth leaves that are alone in their node are dropped from the trie.
+SPARSE = 24
+#: Depths at which the node pairs are written; between them a walk goes on in one plan.
+WRITTEN = (12, 16, 20, 24)
 
 
 def digests(text: str | None, shingle: int) -> np.ndarray:
@@ -96,14 +98,13 @@ def trie_self_join(leaves: DataFrame, allowed: dict[int, int]) -> DataFrame:
         return leaves.groupBy("r", *by, prefix(depth).alias("p")).agg(F.count(F.lit(1)).alias("n"), one)
 
     depths, budget = sorted(allowed), max(allowed.values())
-    id_pair = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
+    apart = "na = 1 and nb = 1 and a != b"  # a pair of single leaves is settled: its ids are compared, and it passes on
     with scratch(spark) as kept:
         leaves = staged(leaves.select("r", "code", "id").distinct(), "leaves")
         root = counted(0).where("n > 1")
         pairs = root.select("r", F.col("p").alias("a"), F.col("n").alias("na"), F.col("one").alias("x"), F.col("p").alias("b"), F.col("n").alias("nb"), F.col("one").alias("y"), F.lit(0).alias("errors"))
-        found = []
         for up, depth in zip([0, *depths], depths):
-            if up >= SPARSE:
+            if up == SPARSE:
                 many = leaves.groupBy("r", prefix(up).alias("p")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                 leaves = staged(leaves.withColumn("p", prefix(up)).join(many, ["r", "p"], "left_semi").drop("p"), "leaves")
             node = F.struct("p", "n", "one")
@@ -116,19 +117,14 @@ def trie_self_join(leaves: DataFrame, allowed: dict[int, int]) -> DataFrame:
             e = f"errors + bit_count((s.p ^ t.p) & {(1 << (depth - up)) - 1}L)"
             # a node paired with itself gives each pair of children once; a child with itself where it has two leaves
             fresh = "(a != b or s.p < t.p or (s.p = t.p and s.n > 1))"
-            both = f"explode(flatten(transform(ka, s -> transform(filter(kb, t -> {fresh} and {e} <= {allowed[depth]}), t -> struct(s.p as a, s.n as na, s.one as x, t.p as b, t.n as nb, t.one as y, {e} as errors))))) as m"
-            level = staged(wide.select("r", F.expr(both)).select("r", "m.*"), "pairs")
-            last = F.lit(depth == BITS)
-            settled = (F.col("a") != F.col("b")) & (((F.col("na") == 1) & (F.col("nb") == 1)) | last)
-            found.append(level.where(settled & (F.bit_count(F.col("x.code").bitwiseXOR(F.col("y.code"))) <= budget)).select(*id_pair))
-            pairs = level.where(~((F.col("na") == 1) & (F.col("nb") == 1)))
-            if not pairs.limit(1).count():
-                break
+            both = f"explode(flatten(transform(ka, s -> transform(filter(kb, t -> {fresh} and (({apart}) or {e} <= {allowed[depth]})), t -> struct(s.p as a, s.n as na, s.one as x, t.p as b, t.n as nb, t.one as y, {e} as errors))))) as m"
+            pairs = wide.select("r", F.expr(both)).select("r", "m.*").where(f"not ({apart}) or bit_count(x.code ^ y.code) <= {budget}")
+            if depth in WRITTEN:
+                pairs = staged(pairs, "pairs")
+        found = pairs.where(f"a != b and bit_count(x.code ^ y.code) <= {budget}").select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         alike = counted(BITS).where("n > 1").select("r", F.col("p").alias("code"), F.col("one.id").alias("a"))
         alike = leaves.join(alike, ["r", "code"]).where("id != a").select("a", F.col("id").alias("b"))
-        for rows in found:
-            alike = alike.unionByName(rows)
-        out = staged(alike.distinct(), "found")
+        out = staged(alike.unionByName(found).distinct(), "found")
         kept.append(out)
     return out
 
@@ -137,7 +133,7 @@ def components(links: DataFrame) -> DataFrame:
     """node and root of the nodes of links (a, b): root is the least node that links reach.
 
     Large-star and small-star rounds in turn until no edge changes; their number grows with the logarithm of a
-    component's size, not with its radius. The result is staged.
+    component's size, not with its radius. Each round writes one table. The result is staged.
     """
     spark = links.sparkSession
     previous = None
@@ -150,7 +146,7 @@ def components(links: DataFrame) -> DataFrame:
             previous = state
             both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
             low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-            large = staged(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+            large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
             least = large.groupBy("u").agg(F.min("v").alias("m"))
             small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
             edges = staged(small.distinct(), "edges")
