@@ -96,16 +96,16 @@ def analysis_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("clip_uid", "window_index", "episode_id", "window_start_sec", "window_end_sec", "window_duration_sec")
 
 
-_WIN = f"""{_CANDS}, w0 AS (SELECT *, CAST(floor(start_sec/25) AS INT) AS wi FROM cands WHERE start_sec<2575), w1 AS (SELECT *, clip_uid||'_'||wi AS episode_id, wi*25::DOUBLE AS ws, start_sec-wi*25::DOUBLE AS a, least(30::DOUBLE, end_sec-wi*25::DOUBLE) AS b FROM w0 WHERE wi%5<>4), w2 AS (SELECT *, greatest(0::DOUBLE,least(2592::DOUBLE, ws+a)) AS ga, greatest(0::DOUBLE,least(2592::DOUBLE, ws+b)) AS gb, (a<=2.5 AND ws>0) OR (b>=27.5 AND ws+30<2592) AS edge, least(a, 30::DOUBLE-b) AS mg FROM w1 WHERE b>a)"""
+_WIN = f"""{_CANDS}, w0 AS (SELECT *, CAST(floor(start_sec/25) AS INT) AS wi FROM cands), wa AS (SELECT *, least(wi*25::DOUBLE, 2562::DOUBLE) AS ws FROM w0), w1 AS (SELECT *, clip_uid||'_'||wi AS episode_id, start_sec-ws AS a, least(30::DOUBLE, end_sec-ws) AS b FROM wa WHERE wi%5<>4), w2 AS (SELECT *, greatest(0::DOUBLE,least(2592::DOUBLE, ws+a)) AS ga, greatest(0::DOUBLE,least(2592::DOUBLE, ws+b)) AS gb, (a<=2.5 AND ws>0) OR (b>=27.5 AND ws+30<2592) AS edge, least(a, 30::DOUBLE-b) AS mg FROM w1 WHERE b>a)"""
 
 
 def _windowed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Subtasks in 30 s windows of stride 25, the windows (every fifth not exported) and the sources."""
-    rows = candidates(spark, sf_dir).where("start_sec < 2575").withColumn("wi", F.floor(F.col("start_sec") / 25).cast("int"))
+    """Subtasks in 30 s windows of stride 25, the last one right-aligned, the windows (every fifth not exported) and the sources."""
+    rows = candidates(spark, sf_dir).withColumn("wi", F.floor(F.col("start_sec") / 25).cast("int"))
     rows = rows.withColumn("episode_id", F.concat_ws("_", "clip_uid", F.col("wi").cast("string")))
-    start = F.col("wi") * F.lit(25.0)
+    start = F.least(F.col("wi") * F.lit(25.0), F.lit(CLIP_SECONDS - 30.0))
     subtasks = rows.select("episode_id", F.col("pos").cast("int").alias("subtask_id"), (F.col("start_sec") - start).alias("start_time_sec"), (F.col("end_sec") - start).alias("end_time_sec"), "action", "fine_action", "object", "instruction", (F.col("action") != "other").alias("training_eligible"), F.expr("cast(array() as array<string>)").alias("quality_flags"))
-    windows = rows.select("clip_uid", "episode_id", "wi").distinct().select("clip_uid", "episode_id", start.alias("window_start_sec"), (start + 30.0).alias("window_end_sec"), F.lit(30.0).alias("window_duration_sec"), F.lit(5.0).alias("overlap_sec"), (F.col("wi") % 5 != 4).alias("export_ok"))
+    windows = rows.select("clip_uid", "episode_id", "wi").distinct().select("clip_uid", "episode_id", F.col("wi").alias("window_index"), start.alias("window_start_sec"), (start + 30.0).alias("window_end_sec"), F.lit(30.0).alias("window_duration_sec"), F.lit(5.0).alias("overlap_sec"), (F.col("wi") % 5 != 4).alias("export_ok"))
     return subtasks, windows, clips(spark, sf_dir)
 
 
@@ -115,25 +115,25 @@ def window_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("candidate_id", "episode_id", "clip_uid", "action", "local_start_sec", "local_end_sec", "start_sec", "end_sec", "training_eligible", F.array_join("quality_flags", ",").alias("flags"), "edge_margin_sec")
 
 
-@_query(f"""WITH {_CANDS}, w0 AS (SELECT clip_uid||'_'||CAST(floor(start_sec/25) AS INT) AS episode_id, CAST(floor(start_sec/25) AS INT) AS wi FROM cands WHERE start_sec<2575) SELECT episode_id, count(*) AS n FROM w0 WHERE wi%5=4 GROUP BY 1""")
+@_query(f"""WITH {_CANDS}, w0 AS (SELECT clip_uid||'_'||CAST(floor(start_sec/25) AS INT) AS episode_id, CAST(floor(start_sec/25) AS INT) AS wi FROM cands) SELECT episode_id, count(*) AS n FROM w0 WHERE wi%5=4 GROUP BY 1""")
 def unknown_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     subtasks, windows, _ = _windowed(spark, sf_dir)
     return ann.unknown_episodes(subtasks, windows).groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query(f"""WITH {_CANDS}, w0 AS (SELECT DISTINCT clip_uid, CAST(floor(start_sec/25) AS INT) AS wi FROM cands WHERE start_sec<2575), w1 AS (SELECT *, clip_uid||'_'||wi AS episode_id FROM w0) SELECT count(*) AS expected, count(*) FILTER (wi%3<>0) AS completed, count(*) FILTER (wi%3=0) AS pending, min(CASE WHEN wi%3=0 THEN episode_id END) AS first_pending FROM w1 WHERE wi%5<>4""")
+@_query(f"""WITH {_CANDS}, w0 AS (SELECT DISTINCT clip_uid, CAST(floor(start_sec/25) AS INT) AS wi FROM cands), w1 AS (SELECT *, clip_uid||'_'||wi AS episode_id FROM w0) SELECT count(*) AS expected, count(*) FILTER (wi%3<>0) AS completed, count(*) FILTER (wi%3=0) AS pending, min(CASE WHEN wi%3=0 THEN episode_id END) AS first_pending FROM w1 WHERE wi%5<>4""")
 def status_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, windows, _ = _windowed(spark, sf_dir)
     expected = windows.where("export_ok").select("episode_id")
-    done = windows.where("cast(window_start_sec / 25 as int) % 3 <> 0").select("episode_id")
+    done = windows.where("window_index % 3 <> 0").select("episode_id")
     marked = expected.join(done.withColumn("done", F.lit(True)), "episode_id", "left")
     return marked.agg(F.count(F.lit(1)).alias("expected"), F.count_if("done").alias("completed"), F.count_if(F.col("done").isNull()).alias("pending"), F.min(F.when(F.col("done").isNull(), F.col("episode_id"))).alias("first_pending"))
 
 
-@_query(f"""WITH {_CANDS}, w0 AS (SELECT DISTINCT clip_uid||'_'||CAST(floor(start_sec/25) AS INT) AS episode_id, CAST(floor(start_sec/25) AS INT) AS wi FROM cands WHERE start_sec<2575) SELECT episode_id, 'pending' AS run FROM w0 WHERE wi%3<>0 UNION ALL SELECT episode_id, 'retry' FROM w0 WHERE wi%4=0""")
+@_query(f"""WITH {_CANDS}, w0 AS (SELECT DISTINCT clip_uid||'_'||CAST(floor(start_sec/25) AS INT) AS episode_id, CAST(floor(start_sec/25) AS INT) AS wi FROM cands) SELECT episode_id, 'pending' AS run FROM w0 WHERE wi%3<>0 UNION ALL SELECT episode_id, 'retry' FROM w0 WHERE wi%4=0""")
 def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, windows, _ = _windowed(spark, sf_dir)
-    w = windows.select("episode_id", (F.col("window_start_sec") / 25).cast("int").alias("wi"))
+    w = windows.select("episode_id", F.col("window_index").alias("wi"))
     done, failed = w.where("wi % 3 = 0"), w.where("wi % 4 = 0")
     return ann.pending(w, done).select("episode_id", F.lit("pending").alias("run")).unionByName(ann.pending(w, done, failed, True).select("episode_id", F.lit("retry").alias("run")))
 
@@ -279,13 +279,15 @@ def _words(x: str) -> str:
     return f"list_distinct(list_filter(regexp_extract_all(lower(coalesce({x},'')), '[a-z0-9]+'), lambda w: len(w)>1 AND w NOT IN ({_STOP})))"
 
 
-_REF = f"""rw AS (SELECT d.doc_id, {_words('d.text')} AS p, {_words('b.text')} AS r, b.text AS reference FROM documents d JOIN benchmark b ON b.item_id=d.doc_id%40), rj AS (SELECT *, CASE WHEN len(list_distinct(list_concat(p,r)))=0 THEN 0::DOUBLE ELSE len(list_intersect(p,r))::DOUBLE/len(list_distinct(list_concat(p,r))) END AS j FROM rw)"""
+_REF = f"""rw AS (SELECT d.doc_id, {_words('d.text')} AS p, {_words('b.text')} AS r, coalesce(b.text,'') AS reference FROM documents d CROSS JOIN (SELECT max(item_id)+1 AS m FROM benchmark) LEFT JOIN benchmark b ON b.item_id=((d.doc_id%m)+m)%m), rj AS (SELECT *, CASE WHEN len(list_distinct(list_concat(p,r)))=0 THEN 0::DOUBLE ELSE len(list_intersect(p,r))::DOUBLE/len(list_distinct(list_concat(p,r))) END AS j FROM rw)"""
 
 
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document beside the benchmark item of its number, counted round the whole benchmark; none where it is missing."""
     b = _table(spark, sf_dir, "benchmark").select((F.col("item_id")).alias("item"), F.col("text").alias("reference"))
-    d = _table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("predicted"), (F.col("doc_id") % 40).alias("item"))
-    return ann.evaluate_references(d.join(b, "item").withColumn("predicted_actions", F.array(F.lit("move"))))
+    number = F.pmod(F.col("doc_id"), b.select(F.max("item") + 1).scalar())
+    d = _table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("predicted"), number.alias("item"))
+    return ann.evaluate_references(d.join(b, "item", "left").withColumn("reference", F.coalesce("reference", F.lit(""))).withColumn("predicted_actions", F.array(F.lit("move"))))
 
 
 @_query(f"WITH {_REF} SELECT doc_id, round_even(j*10000::DOUBLE,0)/10000::DOUBLE AS lexical_jaccard, reference<>'' AND j<0.1::DOUBLE AS low_overlap FROM rj")
