@@ -7,8 +7,9 @@ that of all: of two errors in 64 bits at most one lies in the first half or at m
 with one error allowed in the first half lose no link at two errors. A pair of nodes with one leaf each is settled at
 once. No pair of documents within a group of copies is ever made: the trie holds distinct fingerprints.
 
-near_duplicates() links fingerprints at a Hamming distance. near_copies() walks the same tries with a wider budget over
-sketches of five-word shingles, several fingerprint words a text, for candidates, and compares their shingles exactly.
+near_duplicates() links fingerprints at a Hamming distance. near_copies() walks tries with a wider budget over sketches of
+five-word shingles, several fingerprint words a text, for candidates, and compares their shingles exactly. Its node pairs
+are too many to be written: subtries are walked in memory, and candidates alone are written.
 """
 
 from __future__ import annotations
@@ -24,11 +25,16 @@ from pyspark.sql import functions as F
 from .common import hot_keys, only, scratch, spread_join, staged
 
 BITS = 64
-#: Errors allowed within the first so many bits of a rotated fingerprint: for two errors, and for candidates of copies.
+#: Errors allowed within the first so many bits of a rotated fingerprint: for two errors, and for candidates of copies (of
+#: these subtrie_self_join() takes the last alone, beside one error in LEAD bits, which allows more).
 TWO_ERRORS = {6: 1, 12: 1, 16: 1, 20: 1, 24: 1, 32: 1, 40: 2, 48: 2, 56: 2, 64: 2}
 CANDIDATES = {6: 1, 12: 1, 16: 1, 20: 1, 24: 2, 32: 4, 40: 7, 48: 9, 56: 11, 64: 13}
 #: A near copy: five words a shingle, Jaccard similarity of four fifths; its sketch has WORDS words, each turned four ways.
 SHINGLE, LEAST, WORDS, TURNS = 5, (4, 5), 4, (0, 16, 32, 48)
+#: Distinct texts up to which so many leading bits of a sketch may hold the one error of CANDIDATES; more texts: LEAD bits.
+FEW, LEAD = {1024: 0, 16384: 12}, 16
+#: Rows that a task gathers before it walks their subtries, pairs of leaves compared at once, and the most salts of a subtrie.
+ROWS, AT_ONCE, SPREAD = 1 << 18, 1 << 21, 64
 #: Rounds in which nodes are compared with their nearest candidate alone.
 NEAREST = 3
 #: At this depth leaves that are alone in their node are dropped from the trie.
@@ -129,6 +135,95 @@ def trie_self_join(leaves: DataFrame, allowed: dict[int, int]) -> DataFrame:
     return out
 
 
+def walked(sub: np.ndarray, code: np.ndarray, ident: np.ndarray, own: np.ndarray, lead: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of ids in the subtries of subtrie_self_join(); sub holds trie, half, half's bits and salt from left to right."""
+    order = np.lexsort((ident, code, sub))
+    sub, code, ident, own = sub[order], code[order], ident[order], own[order]
+    fresh = np.ones(len(sub), bool)
+    fresh[1:] = (sub[1:] != sub[:-1]) | (code[1:] != code[:-1])
+    first = np.flatnonzero(fresh)
+    half = (sub // (SPREAD << LEAD)) & 1
+    same = np.flatnonzero(~fresh & own & (half == 0))
+    yield ident[first[np.cumsum(fresh)[same] - 1]], ident[same]
+    sub, code, ident, own, half = (x[first] for x in (sub, code, ident, own, half))
+    width = lead // 2
+    bits = (code >> np.uint64(BITS - lead)).astype(np.int64) if lead else np.zeros(len(code), np.int64)
+    spot = (sub << width) | np.where(half == 0, bits & ((1 << width) - 1), bits >> width)  # ascends, as code does within sub
+    node, begin = np.unique(spot, return_index=True)
+    end = np.append(begin[1:], len(spot))
+    at = np.repeat(np.arange(len(node)), end - begin)  # the node of each leaf
+
+    def compared(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Leaf x beside the leaves from low up to high."""
+        upto = np.cumsum(high - low)
+        k = 0
+        while k < len(x):
+            stop = max(k + 1, int(np.searchsorted(upto, (upto[k - 1] if k else 0) + AT_ONCE, "right")))
+            n = high[k:stop] - low[k:stop]
+            left = np.repeat(x[k:stop], n)
+            right = np.arange(len(left)) + np.repeat(low[k:stop] - np.cumsum(n) + n, n)
+            near = np.bitwise_count(code[left] ^ code[right]) <= most
+            yield ident[left[near]], ident[right[near]]
+            k = stop
+
+    x = np.flatnonzero(own & (half == 0))
+    yield from compared(x, x + 1, end[at[x]])
+    for bit in range(width):
+        other = node ^ (1 << bit)
+        place = np.minimum(np.searchsorted(node, other), len(node) - 1)
+        there = (other > node) & (node[place] == other)
+        x = np.flatnonzero(own & there[at])
+        yield from compared(x, begin[place[at[x]]], end[place[at[x]]])
+
+
+def subtrie_self_join(leaves: DataFrame, n: int, lead: int, most: int) -> DataFrame:
+    """Pairs (a, b), a < b, of ids whose codes differ in at most one of `lead` leading bits and in at most `most` of all.
+
+    leaves: r (the trie), code, id, without repeats; n: how many ids there are. One error leaves a half of the leading
+    bits untouched, so a trie is cut into the subtries below the first half and, its halves swapped, below the second:
+    a leaf is sent to two tasks, whatever the errors allowed. There nodes at depth `lead` are paired with themselves
+    and with the nodes one bit away, and their leaves compared; no node pair leaves the task. Subtries far above the
+    mean are dealt over salts by the lesser leaf. Ids that share a code are paired with the least of them, which stands
+    for all. The result is staged.
+    """
+    width = lead // 2
+    high = lambda bits: F.shiftrightunsigned("code", BITS - bits) if bits else F.lit(0).cast("long")
+    parts = [F.struct(F.lit(0).alias("h"), high(width).alias("p"))]
+    if width:
+        parts.append(F.struct(F.lit(1).alias("h"), high(lead).bitwiseAND(F.lit((1 << width) - 1)).alias("p")))
+    rows = leaves.select("code", "id", "r", F.explode(F.array(*parts)).alias("x"))
+    rows = rows.select("code", "id", (((F.col("r") * 2 + F.col("x.h")).cast("long") * (1 << LEAD)) + F.col("x.p")).alias("sub"))
+    usual = max(4096, 4 * n // (1 << width))
+    hot = rows.groupBy("sub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > usual)
+    hot = hot.select("sub", F.least(F.lit(SPREAD), F.ceil(F.col("n") / F.lit(usual))).cast("int").alias("salts"))
+    rows = rows.join(F.broadcast(hot), "sub", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    rows = rows.select("sub", "code", "id", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("s"))
+    own = F.pmod(F.xxhash64("id"), F.col("salts")) == F.col("s")
+    rows = rows.select((F.col("sub") * SPREAD + F.col("s")).alias("sub"), "code", "id", own.alias("own"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for a, b in walked(rows[0], rows[1].view(np.uint64), rows[2], rows[3], lead, most):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        held, enough = None, ROWS
+        for batch in batches:
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = [*map(list, zip(new))] if held is None else [[*h, x] for h, x in zip(held, new)]
+            if sum(map(len, held[0])) >= enough:
+                rows = [np.concatenate(h) for h in held]
+                cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last subtrie may go on
+                if cut:
+                    yield from found([x[:cut] for x in rows])
+                held = [[x[cut:]] for x in rows]
+                enough = max(ROWS, 2 * len(held[0][0]))
+        if held is not None:
+            yield from found([np.concatenate(h) for h in held])
+
+    pairs = rows.repartition("sub").sortWithinPartitions("sub").mapInArrow(run, "a long, b long")
+    return staged(pairs.distinct(), "found")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root of the nodes of links (a, b): root is the least node that links reach.
 
@@ -266,7 +361,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
         reps = staged(prints.groupBy("id").agg(label, F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("words").alias("words")), "sets")
         word = reps.select("id", F.posexplode("words").alias("w", "word"))
         tries = F.explode(F.array(*[F.struct((F.col("w") * len(TURNS) + k).alias("r"), turned("word", t).alias("code"), "id") for k, t in enumerate(TURNS)]))
-        pairs = trie_self_join(word.select(tries.alias("x")).select("x.*"), CANDIDATES)
+        total = reps.count()
+        lead = next((bits for few, bits in FEW.items() if total <= few), LEAD)
+        pairs = subtrie_self_join(word.select(tries.alias("x")).select("x.*"), total, lead, CANDIDATES[BITS])
         end = lambda k: reps.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("words").alias(f"w{k}"))
         size = F.lit(LEAST[1]) * F.least("na", "nb") >= F.lit(LEAST[0]) * F.greatest("na", "nb")
         far = sum(F.bit_count(F.get("wa", k).bitwiseXOR(F.get("wb", k))) for k in range(WORDS))

@@ -85,3 +85,38 @@ def test_recall_on_the_documents_table(spark):
     df = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "row long, doc_id long, text string")
     found = {x.row: x.component.row for x in simhash.near_copies(df).collect()}
     assert links and sum(found[a] == found[b] for a, b in links) >= 0.9 * len(links)
+
+
+def test_no_node_pairs_are_written(spark, monkeypatch):
+    """What is written on the way is less than the leaves of the tries, which the node pairs outnumber."""
+    r = random.Random(12)
+    rows = [(k, k, " ".join(f"w{r.randrange(4000)}" for _ in range(12))) for k in range(3000)]
+    written = []
+
+    def staged(df, name="table", plain=simhash.staged):
+        out = plain(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "staged", staged)
+    found = simhash.near_copies(spark.createDataFrame(rows, "row long, doc_id long, text string")).collect()
+    assert len(found) == 3000 and sum(written) < 3000 * simhash.WORDS * len(simhash.TURNS)
+
+
+def test_subtries_equal_brute_force(spark, monkeypatch):
+    """Every pair within one error of the leading bits, also where subtries are dealt over salts and cut at any row."""
+    monkeypatch.setattr(simhash, "ROWS", 64)
+    r = random.Random(1)
+    codes = [r.getrandbits(64) >> r.choice((0, 0, 16)) for _ in range(200)]
+    codes += [c ^ sum(1 << b for b in r.sample(range(64), r.choice((0, 1, 2, 9, 13, 14)))) for c in r.choices(codes, k=400)]
+    codes += [r.getrandbits(40) & r.getrandbits(40) for _ in range(4200)]
+    least = {c: i for i, c in reversed(list(enumerate(codes)))}
+    rows = [(0, c - (c >> 63 << 64), i) for i, c in enumerate(codes)]
+    leaves = spark.createDataFrame(rows, "r int, code long, id long")
+    ids = sorted(least.values())
+    near = {(i, j) for k, i in enumerate(ids) for j in ids[k + 1 :] if (codes[i] ^ codes[j]).bit_count() <= 9}
+    alike = {(least[c], i) for i, c in enumerate(codes) if least[c] != i}
+    for lead in (0, 12, 16):
+        want = {(i, j) for i, j in near if not lead or ((codes[i] ^ codes[j]) >> 64 - lead).bit_count() <= 1}
+        got = [(x.a, x.b) for x in simhash.subtrie_self_join(leaves, 600, lead, 9).collect()]
+        assert len(got) == len(set(got)) and set(got) == want | alike
