@@ -35,6 +35,8 @@ SHINGLE, LEAST, WORDS, TURNS = 5, (4, 5), 4, (0, 16, 32, 48)
 FEW, LEAD = {1024: 0, 16384: 12}, 16
 #: Rows that a task gathers before it walks their subtries, pairs of leaves compared at once, and the most salts of a subtrie.
 ROWS, AT_ONCE, SPREAD = 1 << 18, 1 << 21, 64
+#: Sides at least, texts a side, and shingles that a task keeps, where many pairs are compared.
+CELLS, SIDE, HELD = 8, 4096, 1 << 22
 #: Rounds in which nodes are compared with their nearest candidate alone.
 NEAREST = 3
 #: At this depth leaves that are alone in their node are dropped from the trie.
@@ -321,7 +323,54 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts (id, text) are similar."""
+    """The pairs (a, b) whose texts (id, text) are similar.
+
+    Few pairs are joined with their texts. Where a text is in many pairs, ids are dealt to k sides, each two sides meet
+    in one cell, and a text is sent once to each of its k cells instead of once a pair.
+    """
+    many = texts.count()
+    sides = max(CELLS, -(-many // SIDE))
+    return in_cells(pairs, texts, sides) if pairs.count() > sides * many else beside(pairs, texts)
+
+
+def in_cells(pairs: DataFrame, texts: DataFrame, sides: int) -> DataFrame:
+    """checked() by cells of two sides; a cell holds its texts, and pairs follow them."""
+    side = lambda key: F.pmod(F.xxhash64(key), F.lit(sides)).cast("int")
+    cell = lambda x, y: F.least(x, y) * sides + F.greatest(x, y)
+    places = F.transform(F.sequence(F.lit(0), F.lit(sides - 1)), lambda x: cell(side("id"), x))
+    rows = texts.select(F.explode(places).alias("cell"), F.lit(None).cast("long").alias("b"), F.col("id").alias("a"), "text")
+    rows = rows.unionByName(pairs.select(cell(side("a"), side("b")).alias("cell"), "b", "a", F.lit(None).cast("string").alias("text")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own, held, size = None, {}, {}, 0
+
+        def known(key: int) -> np.ndarray:
+            nonlocal size
+            if key not in held:
+                if size > HELD:
+                    held.clear()
+                    size = 0
+                held[key] = np.unique(digests(own[key], SHINGLE))
+                size += len(held[key])
+            return held[key]
+
+        for batch in batches:
+            good = []
+            for place, b, a, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if place != at:
+                    at, own, held, size = place, {}, {}, 0
+                if b is None:
+                    own[a] = text
+                elif similar(known(a), known(b)):
+                    good.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    ordered = rows.select("cell", "b", "a", "text").repartition("cell").sortWithinPartitions("cell", F.col("b").isNotNull(), "a")
+    return ordered.mapInArrow(run, "a long, b long")
+
+
+def beside(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """checked() by a join of both texts to each pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}  # a few sets, as a node may be in many pairs

@@ -120,3 +120,18 @@ def test_subtries_equal_brute_force(spark, monkeypatch):
         want = {(i, j) for i, j in near if not lead or ((codes[i] ^ codes[j]) >> 64 - lead).bit_count() <= 1}
         got = [(x.a, x.b) for x in simhash.subtrie_self_join(leaves, 600, lead, 9).collect()]
         assert len(got) == len(set(got)) and set(got) == want | alike
+
+
+def test_many_pairs_are_compared_in_cells(spark):
+    """Both ways of comparing give the pairs that brute force gives, and cells send a text once a side."""
+    r = random.Random(3)
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(w if r.random() > 0.03 else "x" + w for w in base) for _ in range(40)] + [None, "one two"]
+    sets = [plain_shingles(t or "") for t in texts]
+    pairs = [(a, b) for b in range(len(texts)) for a in range(b)]
+    want = {(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    df = spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    assert 0 < len(want) < len(pairs) and len(pairs) > simhash.CELLS * len(texts)
+    assert "Join" not in simhash.checked(*df)._jdf.queryExecution().optimizedPlan().toString()
+    for found in (simhash.checked(*df), simhash.beside(*df)):
+        assert {(x.a, x.b) for x in found.collect()} == want
