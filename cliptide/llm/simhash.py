@@ -8,8 +8,9 @@ with one error allowed in the first half lose no link at two errors. A pair of n
 once. No pair of documents within a group of copies is ever made: the trie holds distinct fingerprints.
 
 near_duplicates() links fingerprints at a Hamming distance. near_copies() walks tries with a wider budget over sketches of
-five-word shingles, several fingerprint words a text, for candidates, and compares their shingles exactly. Its node pairs
-are too many to be written: subtries are walked in memory, and candidates alone are written.
+five-word shingles, several fingerprint words a text, for candidates, and compares their shingles exactly. Neither its node
+pairs nor its candidates are written, as n variants of a text are n * n candidates: subtries are walked in memory, a task
+gives a minimum spanning forest of what it finds, and all texts of a tree are compared with each other in cells.
 """
 
 from __future__ import annotations
@@ -35,10 +36,13 @@ SHINGLE, LEAST, WORDS, TURNS = 5, (4, 5), 4, (0, 16, 32, 48)
 FEW, LEAD = {1024: 0, 16384: 12}, 16
 #: Rows that a task gathers before it walks their subtries, pairs of leaves compared at once, and the most salts of a subtrie.
 ROWS, AT_ONCE, SPREAD = 1 << 18, 1 << 21, 64
+#: Differing bits of all words of two sketches, of 64 * WORDS, beyond which they are no candidates: copies at the threshold
+#: differ in 39 on average (48 where four shingles meet five), strangers in 128.
+FAR = 72
 #: Sides at least, texts a side, and shingles that a task keeps, where many pairs are compared.
 CELLS, SIDE, HELD = 8, 4096, 1 << 22
-#: Rounds in which nodes are compared with their nearest candidate alone.
-NEAREST = 3
+#: Texts a side, sides at most, texts and shingles compared at once, where all texts of a group are compared.
+GROUP_SIDE, GROUP_SIDES, BLOCK, COLUMNS = 64, 32, 128, 1 << 14
 #: At this depth leaves that are alone in their node are dropped from the trie.
 SPARSE = 24
 #: Depths at which the node pairs are written; between them a walk goes on in one plan.
@@ -138,16 +142,16 @@ def trie_self_join(leaves: DataFrame, allowed: dict[int, int]) -> DataFrame:
 
 
 def walked(sub: np.ndarray, code: np.ndarray, ident: np.ndarray, own: np.ndarray, lead: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of ids in the subtries of subtrie_self_join(); sub holds trie, half, half's bits and salt from left to right."""
+    """Places of the pairs in the subtries of subtrie_self_join(); sub holds trie, half, half's bits and salt from left to right."""
     order = np.lexsort((ident, code, sub))
-    sub, code, ident, own = sub[order], code[order], ident[order], own[order]
+    sub, code, own = sub[order], code[order], own[order]
     fresh = np.ones(len(sub), bool)
     fresh[1:] = (sub[1:] != sub[:-1]) | (code[1:] != code[:-1])
     first = np.flatnonzero(fresh)
     half = (sub // (SPREAD << LEAD)) & 1
     same = np.flatnonzero(~fresh & own & (half == 0))
-    yield ident[first[np.cumsum(fresh)[same] - 1]], ident[same]
-    sub, code, ident, own, half = (x[first] for x in (sub, code, ident, own, half))
+    yield order[first[np.cumsum(fresh)[same] - 1]], order[same]
+    sub, code, order, own, half = (x[first] for x in (sub, code, order, own, half))
     width = lead // 2
     bits = (code >> np.uint64(BITS - lead)).astype(np.int64) if lead else np.zeros(len(code), np.int64)
     spot = (sub << width) | np.where(half == 0, bits & ((1 << width) - 1), bits >> width)  # ascends, as code does within sub
@@ -165,7 +169,7 @@ def walked(sub: np.ndarray, code: np.ndarray, ident: np.ndarray, own: np.ndarray
             left = np.repeat(x[k:stop], n)
             right = np.arange(len(left)) + np.repeat(low[k:stop] - np.cumsum(n) + n, n)
             near = np.bitwise_count(code[left] ^ code[right]) <= most
-            yield ident[left[near]], ident[right[near]]
+            yield order[left[near]], order[right[near]]
             k = stop
 
     x = np.flatnonzero(own & (half == 0))
@@ -178,6 +182,42 @@ def walked(sub: np.ndarray, code: np.ndarray, ident: np.ndarray, own: np.ndarray
         yield from compared(x, begin[place[at[x]]], end[place[at[x]]])
 
 
+def subtries(leaves: DataFrame, n: int, lead: int) -> DataFrame:
+    """sub, code, id, own and further columns of the leaves (r, code, id and those) in the subtries of subtrie_self_join()."""
+    width, more = lead // 2, [c for c in leaves.columns if c not in ("r", "code", "id")]
+    high = lambda bits: F.shiftrightunsigned("code", BITS - bits) if bits else F.lit(0).cast("long")
+    parts = [F.struct(F.lit(0).alias("h"), high(width).alias("p"))]
+    if width:
+        parts.append(F.struct(F.lit(1).alias("h"), high(lead).bitwiseAND(F.lit((1 << width) - 1)).alias("p")))
+    rows = leaves.select("code", "id", *more, "r", F.explode(F.array(*parts)).alias("x"))
+    rows = rows.select("code", "id", *more, (((F.col("r") * 2 + F.col("x.h")).cast("long") * (1 << LEAD)) + F.col("x.p")).alias("sub"))
+    usual = max(4096, 4 * n // (1 << width))
+    hot = rows.groupBy("sub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > usual)
+    hot = hot.select("sub", F.least(F.lit(SPREAD), F.ceil(F.col("n") / F.lit(usual))).cast("int").alias("salts"))
+    rows = rows.join(F.broadcast(hot), "sub", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    rows = rows.select("sub", "code", "id", *more, "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("s"))
+    own = F.pmod(F.xxhash64("id"), F.col("salts")) == F.col("s")
+    rows = rows.select((F.col("sub") * SPREAD + F.col("s")).alias("sub"), "code", "id", own.alias("own"), *more)
+    return rows.repartition("sub").sortWithinPartitions("sub")
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of the batches, ordered by the first, in pieces of ROWS rows or more that end where its value does."""
+    held, enough = None, ROWS
+    for batch in batches:
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        held = [*map(list, zip(new))] if held is None else [[*h, x] for h, x in zip(held, new)]
+        if sum(map(len, held[0])) >= enough:
+            rows = [np.concatenate(h) for h in held]
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last subtrie may go on
+            if cut:
+                yield [x[:cut] for x in rows]
+            held = [[x[cut:]] for x in rows]
+            enough = max(ROWS, 2 * len(held[0][0]))
+    if held is not None:
+        yield [np.concatenate(h) for h in held]
+
+
 def subtrie_self_join(leaves: DataFrame, n: int, lead: int, most: int) -> DataFrame:
     """Pairs (a, b), a < b, of ids whose codes differ in at most one of `lead` leading bits and in at most `most` of all.
 
@@ -188,42 +228,78 @@ def subtrie_self_join(leaves: DataFrame, n: int, lead: int, most: int) -> DataFr
     mean are dealt over salts by the lesser leaf. Ids that share a code are paired with the least of them, which stands
     for all. The result is staged.
     """
-    width = lead // 2
-    high = lambda bits: F.shiftrightunsigned("code", BITS - bits) if bits else F.lit(0).cast("long")
-    parts = [F.struct(F.lit(0).alias("h"), high(width).alias("p"))]
-    if width:
-        parts.append(F.struct(F.lit(1).alias("h"), high(lead).bitwiseAND(F.lit((1 << width) - 1)).alias("p")))
-    rows = leaves.select("code", "id", "r", F.explode(F.array(*parts)).alias("x"))
-    rows = rows.select("code", "id", (((F.col("r") * 2 + F.col("x.h")).cast("long") * (1 << LEAD)) + F.col("x.p")).alias("sub"))
-    usual = max(4096, 4 * n // (1 << width))
-    hot = rows.groupBy("sub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > usual)
-    hot = hot.select("sub", F.least(F.lit(SPREAD), F.ceil(F.col("n") / F.lit(usual))).cast("int").alias("salts"))
-    rows = rows.join(F.broadcast(hot), "sub", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-    rows = rows.select("sub", "code", "id", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("s"))
-    own = F.pmod(F.xxhash64("id"), F.col("salts")) == F.col("s")
-    rows = rows.select((F.col("sub") * SPREAD + F.col("s")).alias("sub"), "code", "id", own.alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            for a, b in walked(rows[0], rows[1].view(np.uint64), rows[2], rows[3], lead, most):
+        for sub, code, ident, own in gathered(batches):
+            for x, y in walked(sub, code.view(np.uint64), ident, own, lead, most):
+                a, b = ident[x], ident[y]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-        held, enough = None, ROWS
-        for batch in batches:
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            held = [*map(list, zip(new))] if held is None else [[*h, x] for h, x in zip(held, new)]
-            if sum(map(len, held[0])) >= enough:
-                rows = [np.concatenate(h) for h in held]
-                cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last subtrie may go on
-                if cut:
-                    yield from found([x[:cut] for x in rows])
-                held = [[x[cut:]] for x in rows]
-                enough = max(ROWS, 2 * len(held[0][0]))
-        if held is not None:
-            yield from found([np.concatenate(h) for h in held])
-
-    pairs = rows.repartition("sub").sortWithinPartitions("sub").mapInArrow(run, "a long, b long")
-    return staged(pairs.distinct(), "found")
+    return staged(subtries(leaves, n, lead).mapInArrow(run, "a long, b long").distinct(), "found")
+
+
+def spanning(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the edges (u, v) of a minimum spanning forest over n nodes, earlier edges being lighter, and its roots.
+
+    Boruvka's rounds: each tree takes its lightest edge to another tree.
+    """
+    root, live, taken = np.arange(n), np.arange(len(u)), []
+    while True:
+        live = live[root[u[live]] != root[v[live]]]
+        if not len(live):
+            return np.concatenate([*taken, live]), root
+        best = np.full(n, len(u))
+        for end in (u, v):
+            first = np.full(n, len(u))
+            first[root[end[live[::-1]]]] = live[::-1]  # the last one assigned stays
+            best = np.minimum(best, first)
+        tree = np.flatnonzero(best < len(u))
+        edge = best[tree]
+        taken.append(np.unique(edge))
+        up = np.arange(n)
+        up[tree] = root[u[edge]] + root[v[edge]] - tree
+        both = (up[up] == np.arange(n)) & (up > np.arange(n))  # two trees that took the same edge
+        up[both] = np.flatnonzero(both)
+        while (up[up] != up).any():
+            up = up[up]
+        root = up[root]
+
+
+def lightest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The edges (a, b) of a minimum spanning forest by (far, a, b)."""
+    order = np.lexsort((b, a, far))
+    ids, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    kept = order[spanning(place[: len(a)][order], place[len(a) :][order], len(ids))[0]]
+    return a[kept], b[kept], far[kept]
+
+
+def subtrie_forest(leaves: DataFrame, n: int, lead: int, most: int, far: int) -> DataFrame:
+    """Of the pairs of subtrie_self_join() that differ in at most `far` bits of all words, as many as join the same ids.
+
+    Returns (a, b, far), the bits in which all words differ.
+
+    leaves: r, code, id and the words of the id's sketch, one a column. A task keeps a minimum spanning forest of its
+    pairs by the bits in which their words differ, so it gives fewer pairs than it has ids, however many it finds, and
+    every id's nearest pair there is among them. Equal codes are pairs whatever the other words. The result is staged.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.zeros(0, np.int64)] * 3
+        for sub, code, ident, own, *words in gathered(batches):
+            waiting, size = [], 0
+            for x, y in walked(sub, code.view(np.uint64), ident, own, lead, most):
+                apart = sum(np.bitwise_count((w[x] ^ w[y]).view(np.uint64)).astype(np.int64) for w in words)
+                near = (apart <= far) | (code[x] == code[y])
+                a, b = ident[x[near]], ident[y[near]]
+                waiting.append((np.minimum(a, b), np.maximum(a, b), apart[near]))
+                size += len(a)
+                if size > AT_ONCE:
+                    kept = lightest(*(np.concatenate(c) for c in zip(kept, *waiting)))
+                    waiting, size = [], 0
+            kept = lightest(*(np.concatenate(c) for c in zip(kept, *waiting)))
+        yield pa.RecordBatch.from_arrays([pa.array(k) for k in kept], ["a", "b", "far"])
+
+    return staged(subtries(leaves, n, lead).mapInArrow(run, "a long, b long, far long").distinct(), "found")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -394,11 +470,92 @@ def beside(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
 
 
+def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set on the left has in common with each on the right."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    common = np.intersect1d(x, y)
+    ends = []
+    for own, sets in ((x, left), (y, right)):
+        at = np.minimum(np.searchsorted(common, own), max(len(common) - 1, 0))
+        here = common[at] == own if len(common) else np.zeros(len(own), bool)
+        ends.append((np.repeat(np.arange(len(sets)), [len(s) for s in sets])[here], at[here], len(sets)))
+    out = np.zeros((len(left), len(right)), np.int64)
+    for k in range(0, len(common), COLUMNS):
+        parts = []
+        for row, at, n in ends:
+            part = np.zeros((n, min(COLUMNS, len(common) - k)), np.float32)  # sums of up to COLUMNS ones are exact
+            here = (at >= k) & (at < k + COLUMNS)
+            part[row[here], at[here] - k] = 1
+            parts.append(part)
+        out += (parts[0] @ parts[1].T).astype(np.int64)
+    return out
+
+
+def linked(sets: list[np.ndarray], side: np.ndarray, part: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of places of similar sets that join all sets which similar sets join; part names sets joined before.
+
+    Sets of the two sides are compared with each other, those of one side alone with themselves. Sets that are joined
+    need no comparison.
+    """
+    root = np.unique(part, return_inverse=True)[1]
+    size = np.array([len(s) for s in sets])
+    places = [np.flatnonzero(side == s) for s in np.unique(side)]
+    blocks = [[p[k : k + BLOCK] for k in range(0, len(p), BLOCK)] for p in places]
+    pairs = [(x, y) for x in blocks[0] for y in blocks[1]] if len(blocks) > 1 else [(x, y) for k, y in enumerate(blocks[0]) for x in blocks[0][: k + 1]]
+    out = []
+    for x, y in pairs:
+        main = np.bincount(np.concatenate([root[x], root[y]])).argmax()
+        for p, q in ((x[root[x] != main], y), (x[root[x] == main], y[root[y] != main])):
+            if not len(p) or not len(q):
+                continue
+            both = shared([sets[i] for i in p], [sets[i] for i in q])
+            i, j = np.nonzero(LEAST[1] * both >= LEAST[0] * (size[p][:, None] + size[q][None, :] - both))
+            i, j = p[i], q[j]
+            taken, joined = spanning(root[i], root[j], len(sets))
+            out += zip(i[taken].tolist(), j[taken].tolist())
+            root = joined[root]
+    return out
+
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of similar texts that join all texts of a group which similar texts of it join.
+
+    rows: root (the group), n (its texts), id, part (names texts joined before), text. Every two texts of a group that
+    are not joined yet are compared. A group is dealt to at most GROUP_SIDES sides, each two sides meet in one cell, and
+    a text is sent once to each of its cells; a cell gives fewer pairs than it has texts, however many are similar.
+    """
+    sides = F.least(F.lit(GROUP_SIDES), F.ceil(F.col("n") / F.lit(GROUP_SIDE))).cast("int")
+    rows = rows.withColumn("k", sides).withColumn("side", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    cell = F.expr("explode(transform(sequence(0, k - 1), x -> least(side, x) * k + greatest(side, x)))").alias("cell")
+    rows = rows.select("root", cell, "side", "id", "part", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(ids: list, sides: list, parts: list, sets: list) -> pa.RecordBatch:
+            good = linked(sets, np.array(sides), np.array(parts))
+            return pa.RecordBatch.from_arrays([pa.array([ids[g[k]] for g in good], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        at, own = None, ([], [], [], [])
+        for batch in batches:
+            for root, cell, side, ident, part, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (root, cell) != at:
+                    if at is not None:
+                        yield found(*own)
+                    at, own = (root, cell), ([], [], [], [])
+                for held, x in zip(own, (ident, side, part, np.unique(digests(text, SHINGLE)))):
+                    held.append(x)
+        if at is not None:
+            yield found(*own)
+
+    return rows.repartition("root", "cell").sortWithinPartitions("root", "cell", "id").mapInArrow(run, "a long, b long")
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """row, doc_id and component of every row of docs (row, doc_id, text): the lowest row that links of copies reach.
 
     Texts are linked where their sets of five-word shingles have a Jaccard similarity of 0.8 or more; candidates come
-    from the tries of their sketches, and no candidate is decided by an estimate. row tells the rows of docs apart.
+    from the tries of their sketches, and no candidate is decided by an estimate. Texts that candidates join are a
+    group; the nearest pair of each is compared first, and where that leaves texts of a group apart, all its pairs. row
+    tells the rows of docs apart.
     component has (no_id, doc_id, row): the smallest doc_id leads, a null id comes last, and equal ids are ordered by
     row. Texts without words are copies of each other. Repeated rows are copies; an empty table gives an empty result;
     other columns are ignored.
@@ -408,35 +565,33 @@ def near_copies(docs: DataFrame) -> DataFrame:
     with scratch(docs.sparkSession) as kept:
         label = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("label")
         reps = staged(prints.groupBy("id").agg(label, F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("words").alias("words")), "sets")
-        word = reps.select("id", F.posexplode("words").alias("w", "word"))
-        tries = F.explode(F.array(*[F.struct((F.col("w") * len(TURNS) + k).alias("r"), turned("word", t).alias("code"), "id") for k, t in enumerate(TURNS)]))
+        whole = [F.get("words", F.lit(k)).alias(f"w{k}") for k in range(WORDS)]
+        word = reps.select("id", *whole, F.posexplode("words").alias("w", "word"))
+        tries = F.explode(F.array(*[F.struct((F.col("w") * len(TURNS) + k).alias("r"), turned("word", t).alias("code")) for k, t in enumerate(TURNS)]))
         total = reps.count()
         lead = next((bits for few, bits in FEW.items() if total <= few), LEAD)
-        pairs = subtrie_self_join(word.select(tries.alias("x")).select("x.*"), total, lead, CANDIDATES[BITS])
-        end = lambda k: reps.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("words").alias(f"w{k}"))
-        size = F.lit(LEAST[1]) * F.least("na", "nb") >= F.lit(LEAST[0]) * F.greatest("na", "nb")
-        far = sum(F.bit_count(F.get("wa", k).bitwiseXOR(F.get("wb", k))) for k in range(WORDS))
-        pairs = staged(pairs.join(end("a"), "a").join(end("b"), "b").where(size).select("a", "b", far.alias("far")), "candidates")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        chosen = reps.join(wanted, "id", "left_semi").select(F.col("label.row").alias("row"), "id")
-        texts = staged(docs.join(chosen, "row").select("id", "text"), "texts")
-        # first each node's nearest candidate in another component, which joins a group of variants by few comparisons;
-        # in the end every pair that is still apart
-        state, links, left = reps.select("id", "label"), None, pairs
-        for turn in range(NEAREST + 1):
-            ends = lambda k: state.select(F.col("id").alias(k), F.col("label.row").alias(f"at{k}"))  # noqa: B023, E731
-            apart = staged(left.join(ends("a"), "a").join(ends("b"), "b").where("ata != atb").select("a", "b", "far"), "apart")
-            if not apart.limit(1).count():
-                break
-            test = apart
-            if turn < NEAREST:
-                near = F.min(F.struct("far", "a", "b")).alias("x")
-                test = apart.groupBy("a").agg(near).select("x.*").unionByName(apart.groupBy("b").agg(near).select("x.*")).distinct()
-                test = staged(test, "nearest")
-            fresh = staged(checked(test.select("a", "b"), texts), "links")
-            links = fresh if links is None else links.unionByName(fresh)
+        leaves = word.select("id", *[f"w{k}" for k in range(WORDS)], tries.alias("x")).select("x.*", "id", *[f"w{k}" for k in range(WORDS)])
+        pairs = subtrie_forest(leaves, total, lead, CANDIDATES[BITS], FAR)
+        state = reps.select("id", "label")
+        if pairs.limit(1).count():
+            member = components(pairs).select(F.col("node").alias("id"), "root")
+            chosen = reps.join(member, "id", "left_semi").select(F.col("label.row").alias("row"), "id")
+            texts = staged(docs.join(chosen, "row").select("id", "text"), "texts")
+            end = lambda k: reps.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"))
+            size = F.lit(LEAST[1]) * F.least("na", "nb") >= F.lit(LEAST[0]) * F.greatest("na", "nb")
+            near = F.min(F.struct("far", "a", "b")).alias("x")  # each id's nearest pair: no more pairs than ids
+            near = pairs.groupBy("a").agg(near).select("x.*").unionByName(pairs.groupBy("b").agg(near).select("x.*"))
+            near = staged(near.select("a", "b").distinct(), "nearest")
+            links = staged(checked(near.join(end("a"), "a").join(end("b"), "b").where(size).select("a", "b"), texts), "links")
             state = labelled(reps, links, "id")
-            left = apart.join(test.select("a", "b"), ["a", "b"], "left_anti")
+            # a group of two has no other pair; in larger ones texts that are still apart may be joined by others
+            parts = staged(member.join(state.select("id", F.col("label.row").alias("part")), "id"), "parts")
+            open_ = parts.groupBy("root").agg(F.count(F.lit(1)).alias("n"), (F.min("part") != F.max("part")).alias("apart"))
+            open_ = staged(open_.where("apart and n > 2").select("root", "n"), "open")
+            if open_.limit(1).count():
+                rows = spread_join(parts, open_, "root", hot_keys(open_, "root", "n"), F.col("id"), "inner")
+                links = links.unionByName(staged(grouped(rows.join(texts, "id")), "grouped"))
+                state = labelled(reps, links, "id")
         out = staged(state, "states")
         many = hot_keys(reps, "id", "rows")
         kept.append(out)

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from cliptide.llm import simhash
 
@@ -135,3 +137,79 @@ def test_many_pairs_are_compared_in_cells(spark):
     assert "Join" not in simhash.checked(*df)._jdf.queryExecution().optimizedPlan().toString()
     for found in (simhash.checked(*df), simhash.beside(*df)):
         assert {(x.a, x.b) for x in found.collect()} == want
+
+
+def joined(n, pairs):
+    """The least node that pairs reach from each of n nodes."""
+    up = list(range(n))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in pairs:
+        x, y = sorted((root(a), root(b)))
+        up[y] = x
+    return [root(i) for i in range(n)]
+
+
+def test_many_variants_give_few_pairs(spark, monkeypatch):
+    """400 variants of one text, some nearer than others: what is written grows with them, and components are exact."""
+    r = random.Random(21)
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(w if r.random() > 0.02 * (k % 3 + 1) else f"x{r.randrange(5)}{w}" for w in base) for k in range(400)]
+    written = []
+
+    def staged(df, name="table", plain=simhash.staged):
+        out = plain(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "staged", staged)
+    df = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "row long, doc_id long, text string")
+    got = [x.component.row for x in sorted(simhash.near_copies(df).collect())]
+    sets = [plain_shingles(t) for t in texts]
+    links = [(a, b) for b in range(400) for a in range(b) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert len(links) > 8 * 400 and 1 < len(set(got)) < 400
+    assert got == joined(400, links)
+    assert max(written) < 8 * 400
+
+
+def test_forest_joins_what_all_pairs_join(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "ROWS", 64)
+    monkeypatch.setattr(simhash, "AT_ONCE", 128)
+    r = random.Random(2)
+    flip = lambda c, n: c ^ sum(1 << b for b in r.sample(range(64), n))
+    signed = lambda c: c - (c >> 63 << 64)
+    words = [[r.getrandbits(64) for _ in range(4)] for _ in range(10)]
+    words += [[flip(c, r.choice((2, 4, 9, 13, 20, 30))) for c in w] for w in r.choices(words, k=300)]
+    rows = [(k, signed(w[k]), i, *map(signed, w)) for i, w in enumerate(words) for k in range(4)]
+    leaves = spark.createDataFrame(rows, "r int, code long, id long, w0 long, w1 long, w2 long, w3 long")
+    ids = range(len(words))
+    bits = lambda a, b: [(x ^ y).bit_count() for x, y in zip(words[a], words[b])]
+    want = [(a, b) for b in ids for a in range(b) if min(d := bits(a, b)) <= 13 and sum(d) <= 72]
+    got = [(x.a, x.b) for x in simhash.subtrie_forest(leaves, len(words), 0, 13, 72).collect()]
+    assert set(got) <= set(want) and len(want) > 2 * len(words)
+    assert joined(len(words), got) == joined(len(words), want)
+
+
+def test_cells_join_what_brute_force_joins(monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    monkeypatch.setattr(simhash, "COLUMNS", 32)
+    r = random.Random(5)
+    base = [r.getrandbits(64) for _ in range(80)]
+    sets = [np.unique(np.array([x if r.random() > p else r.choice((x ^ 1, x ^ 2)) for x in base], np.uint64)) for p in r.choices((0.05, 0.1, 0.15, 0.2), k=70)]
+    sets += [np.zeros(0, np.uint64), np.array([3], np.uint64), np.array([3], np.uint64)]
+    n = len(sets)
+    both = lambda a, b: len(set(sets[a].tolist()) & set(sets[b].tolist()))
+    like = {(a, b) for b in range(n) for a in range(b) if 5 * both(a, b) >= 4 * (len(sets[a]) + len(sets[b]) - both(a, b))}
+    assert simhash.shared(sets, sets).tolist() == [[both(a, b) for b in range(n)] for a in range(n)]
+    for side in (np.zeros(n, int), np.arange(n) % 2):
+        for part in (np.arange(n), np.arange(n) // 8):
+            before = [(a, a + 1) for a in range(n - 1) if part[a] == part[a + 1]]
+            want = [(a, b) for a, b in like if not side.any() or side[a] != side[b]]
+            got = simhash.linked(sets, side, part)
+            assert {tuple(sorted(p)) for p in got} <= set(want) and len(got) < n
+            assert joined(n, before + got) == joined(n, before + want)
+            assert len(set(joined(n, want))) > 3
