@@ -553,9 +553,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     """row, doc_id and component of every row of docs (row, doc_id, text): the lowest row that links of copies reach.
 
     Texts are linked where their sets of five-word shingles have a Jaccard similarity of 0.8 or more; candidates come
-    from the tries of their sketches, and no candidate is decided by an estimate. Texts that candidates join are a
-    group; the nearest pair of each is compared first, and where that leaves texts of a group apart, all its pairs. row
-    tells the rows of docs apart.
+    from the tries of their sketches, within FAR bits of all words, and no link is made by an estimate. Texts that
+    candidates join are a group; the nearest pair of each is compared first, and where that leaves texts of a group
+    apart, all its pairs. row tells the rows of docs apart.
     component has (no_id, doc_id, row): the smallest doc_id leads, a null id comes last, and equal ids are ordered by
     row. Texts without words are copies of each other. Repeated rows are copies; an empty table gives an empty result;
     other columns are ignored.
